@@ -20,12 +20,9 @@ def site_location_id(
     of ``site_id``, else from the three codes, else ``fallback``."""
     options = []
     if site_id is not None:
-        digits = normalize_site_id(site_id)
         options.append(
-            F.concat(
-                F.lit("aqs_site:"), F.substring(digits, 1, 2),
-                F.lit(":"), F.substring(digits, 3, 3),
-                F.lit(":"), F.substring(digits, 6, 4),
+            F.regexp_replace(
+                normalize_site_id(site_id), r"^([0-9]{2})([0-9]{3})([0-9]{4})$", "aqs_site:$1:$2:$3"
             )
         )
     if state_code is not None and county_code is not None and site_number is not None:

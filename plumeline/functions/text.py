@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\r\f\x0b"
 # Grammar of a decimal number in the feeds: no type suffix (``1.5d``), no
-# ``nan``/``inf`` words, both of which a plain cast to double would let through.
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# ``nan``/``inf`` words, both of which a plain cast to double would let through,
+# and no exponent beyond the range of a double.
+NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?0*[0-2]?[0-9]{1,2})?"
 
 
 def strip(value: Column) -> Column:
@@ -38,9 +39,18 @@ def null_if_na(value: Column) -> Column:
     return F.when(F.lower(text) != "na", text)
 
 
+def only(value: Column, pattern: str) -> Column:
+    """``value`` where the whole text matches, else the empty text.
+
+    Written as one replacement so that ``value``, often a chain of replacements
+    itself, appears once in the plan; a ``when`` would evaluate it twice.
+    """
+    return F.regexp_replace(value, rf"^(?!(?:{pattern})$)[\s\S]*$", "")
+
+
 def zero_fill(value: Column, width: int) -> Column:
     """Left-pad with zeros without ever truncating (``lpad`` alone truncates)."""
-    return F.when(F.length(value) >= width, value).otherwise(F.lpad(value, width, "0"))
+    return F.lpad(value, F.greatest(F.length(value), F.lit(width)), F.lit("0"))
 
 
 def zero_fill_code(value: Column, width: int) -> Column:
@@ -50,9 +60,7 @@ def zero_fill_code(value: Column, width: int) -> Column:
 
 def parse_number(value: Column) -> Column:
     """Text to double, NULL when it is not a finite decimal number (NRM-4)."""
-    text = strip(value)
-    number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    return only(strip(value), NUMBER).try_cast("double")
 
 
 def first_nonzero(*values: Column) -> Column:
@@ -64,8 +72,7 @@ def first_nonzero(*values: Column) -> Column:
 
 def normalize_site_id(value: Column) -> Column:
     """Nine-digit site id: the last nine digits, NULL below nine (NRM-7)."""
-    digits = F.regexp_replace(value, r"[^0-9]+", "")
-    return F.when(F.length(digits) >= 9, F.right(digits, F.lit(9)))
+    return F.nullif(F.regexp_extract(F.regexp_replace(value, r"[^0-9]+", ""), r"([0-9]{9})$", 1), F.lit(""))
 
 
 def pollutant_key(value: Column) -> Column:

@@ -13,28 +13,28 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plumeline.functions.text import non_blank, parse_number, strip
+from plumeline.functions.text import non_blank, only, parse_number, strip
 
-_ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-_ISO_PAIR = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}$"
+_ISO_DATE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+_ISO_PAIR = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}"
 _ISO_FULL = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?([+-][0-9]{2}:?[0-9]{2})?)?$"
+    r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"(T[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?([+-][0-9]{2}(:?[0-9]{2})?)?)?"
 )
-_SHORT_MINUTE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9]{1,2}:[0-9]{1,2}$"
+_SHORT_MINUTE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}"
 MAX_OFFSET_HOURS = 8_760_000.0
 
 
 def parse_date_time(date_text: Column, time_text: Column) -> Column:
     """Date and ``H:M`` text to a timestamp; blank time is midnight (DT-1)."""
-    text = F.concat(non_blank(date_text), F.lit(" "), F.coalesce(non_blank(time_text), F.lit("00:00")))
-    return F.when(text.rlike(_ISO_PAIR), text.try_cast("timestamp"))
+    text = F.concat(strip(date_text), F.lit(" "), F.coalesce(non_blank(time_text), F.lit("00:00")))
+    return only(text, _ISO_PAIR).try_cast("timestamp")
 
 
 def parse_iso_date(value: Column) -> Column:
     """``yyyy-M-d`` or ``yyyyMMdd`` to a date (DT-5, authoritative feed)."""
     text = F.regexp_replace(strip(value), r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
-    return F.when(text.rlike(_ISO_DATE), text.try_cast("date"))
+    return only(text, _ISO_DATE).try_cast("date")
 
 
 def parse_feed_date(value: Column) -> Column:
@@ -45,24 +45,25 @@ def parse_feed_date(value: Column) -> Column:
     text = F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", "$3-$1-$2")
     text = F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/(69|[7-9][0-9])$", "19$3-$1-$2")
     text = F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2})$", "20$3-$1-$2")
-    return F.when(text.rlike(_ISO_DATE), text.try_cast("date"))
+    return only(text, _ISO_DATE).try_cast("date")
 
 
 def parse_utc_timestamp(value: Column) -> Column:
     """ISO text, ``Z`` or offset allowed, naive meaning UTC (DT-6)."""
     text = F.regexp_replace(strip(value), "Z", "+00:00")
-    valid = text.rlike(_ISO_FULL) | text.rlike(_SHORT_MINUTE)
-    full = F.regexp_replace(text, r"^(\S+[T ][0-9]{2})([+-].*)?$", "$1:00$2")
-    full = F.regexp_replace(full, r"^([^T ]+[T ][0-9]{1,2}:[0-9]{1,2})([+-].*)?$", "$1:00$2")
-    full = F.regexp_replace(full, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
-    full = F.when(full.rlike(r"[T ]"), F.translate(full, ",", ".")).otherwise(text)
-    return F.when(valid, full.try_cast("timestamp"))
+    text = F.regexp_replace(text, r"^([0-9-]+)[T ]", "$1T")
+    text = only(text, f"{_ISO_FULL}|{_SHORT_MINUTE}")
+    text = F.regexp_replace(text, r"^([^T]+T[0-9]{2})(?=$|[+-])", "$1:00")
+    text = F.regexp_replace(text, r"^([^T]+T[0-9]{1,2}:[0-9]{1,2})(?=$|[+-])", "$1:00")
+    text = F.regexp_replace(text, r"(T.*[+-][0-9]{2})$", "$1:00")
+    text = F.regexp_replace(text, r"(T.*[+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    return F.translate(text, ",", ".").try_cast("timestamp")
 
 
 def parse_hour(value: Column) -> Column:
     """Hour of day from ``HH``, ``HH:MM`` or a decimal; NULL outside 0-23 (DT-4)."""
-    number = parse_number(F.split_part(strip(value), F.lit(":"), F.lit(1)))
-    return F.when((number > -1) & (number < 24), number.cast("int"))
+    hour = parse_number(F.split_part(strip(value), F.lit(":"), F.lit(1))).try_cast("int")
+    return F.get(F.array(*map(F.lit, range(24))), hour)
 
 
 def parse_offset_hours(value: Column) -> Column:
@@ -84,12 +85,8 @@ def local_to_utc(local: Column, offset_hours: Column) -> Column:
 
 def iso_text(ts: Column) -> Column:
     """``2026-04-17T13:00:00+00:00``; six fraction digits only when non-zero."""
-    fraction = F.date_format(ts, "SSSSSS")
-    return F.concat(
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(fraction != "000000", F.concat(F.lit("."), fraction)).otherwise(F.lit("")),
-        F.lit("+00:00"),
-    )
+    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(text, r"\.000000$", ""), F.lit("+00:00"))
 
 
 def day_of(ts: Column) -> Column:

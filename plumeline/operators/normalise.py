@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumeline import functions as fn
+from plumeline.operators.ranking import evaluated
 from plumeline.schemas import (
     AUTHORITATIVE,
     AUTHORITATIVE_FIELDS,
@@ -67,9 +68,9 @@ def normalise_authoritative(
     county_text = F.coalesce(fn.non_empty(raw["county_code"]), _optional(rows, "meta_county"))
     gmt_start = fn.parse_date_time(raw["date_gmt"], raw["time_gmt"])
     local_start = fn.parse_date_time(raw["date_local"], raw["time_local"])
-    start = F.coalesce(gmt_start, fn.parse_iso_date(raw["date_local"]).cast("timestamp"))
 
-    parsed = rows.select(
+    parsed = evaluated(
+        rows,
         "object_key",
         "raw_fields",
         pollutant.alias("pollutant_code"),
@@ -78,8 +79,8 @@ def normalise_authoritative(
         fn.zero_fill_code(county_text, 3).alias("_county"),
         fn.zero_fill_code(raw["site_number"], 4).alias("_site"),
         F.coalesce(nullable_text("poc"), F.lit("na")).alias("_poc"),
-        start.alias("timestamp_start_utc"),
-        F.coalesce(local_start, start).alias("timestamp_local"),
+        F.coalesce(gmt_start, fn.parse_iso_date(raw["date_local"]).cast("timestamp")).alias("timestamp_start_utc"),
+        local_start.alias("_local_start"),
         F.coalesce(
             fn.non_empty(raw["units_of_measure"]), fn.non_empty(raw["unit_of_measure"])
         ).alias("_unit"),
@@ -97,6 +98,7 @@ def normalise_authoritative(
     location = F.concat_ws(":", F.lit("aqs"), "_state", "_county", "_site", "_poc")
     identified = parsed.withColumns(
         {
+            "timestamp_local": F.coalesce("_local_start", "timestamp_start_utc"),
             "location_id": location,
             "site_natural_location_id": fn.site_location_id(
                 state_code=F.col("_state"), county_code=F.col("_county"), site_number=F.col("_site"), fallback=location
@@ -135,29 +137,39 @@ def normalise_provisional(
     def field(name: str) -> Column:
         return fn.first_non_blank(*[F.col("raw_fields")[alias] for alias in PROVISIONAL_ALIASES[name]])
 
-    utc = fn.parse_utc_timestamp(field("utc"))
-    local = F.coalesce(utc, fn.local_timestamp(field("date"), field("time")))
-    parsed = rows.select(
+    # Staged projections: a parsed value used several times is one column of an
+    # earlier step, which the optimizer keeps apart instead of repeating it.
+    texts = rows.select("object_key", "raw_fields", *[field(name).alias(f"_{name}") for name in PROVISIONAL_ALIASES])
+    values = evaluated(
+        texts,
         "object_key",
         "raw_fields",
-        fn.pollutant_key(field("parameter")).alias("alias_key"),
-        fn.parse_number(field("value")).alias("value_numeric"),
-        fn.normalize_site_id(field("site")).alias("aqsid"),
-        F.coalesce(utc, fn.local_to_utc(local, fn.parse_offset_hours(field("offset")))).alias("timestamp_start_utc"),
-        local.alias("timestamp_local"),
-        F.coalesce(field("unit"), F.lit("unknown")).alias("unit"),
-        fn.parse_feed_date(field("changed")).alias("source_last_modified_date"),
-        F.lit(None).cast("string").alias("method_code"),
-        F.lit(None).cast("string").alias("method_name"),
-        field("agency").alias("qualifier_raw"),
-    ).where(
+        fn.pollutant_key(F.col("_parameter")).alias("alias_key"),
+        fn.parse_number(F.col("_value")).alias("value_numeric"),
+        fn.normalize_site_id(F.col("_site")).alias("aqsid"),
+        fn.parse_utc_timestamp(F.col("_utc")).alias("_utc"),
+        fn.local_timestamp(F.col("_date"), F.col("_time")).alias("_local"),
+        fn.parse_offset_hours(F.col("_offset")).alias("_offset"),
+        F.coalesce(F.col("_unit"), F.lit("unknown")).alias("unit"),
+        fn.parse_feed_date(F.col("_changed")).alias("source_last_modified_date"),
+        F.col("_agency").alias("qualifier_raw"),
+    )
+    parsed = values.where(
         F.col("value_numeric").isNotNull()
         & F.col("aqsid").isNotNull()
-        & F.col("timestamp_start_utc").isNotNull()
+        & (F.col("_utc").isNotNull() | F.col("_local").isNotNull())
+    ).withColumns(
+        {
+            "timestamp_start_utc": F.coalesce("_utc", fn.local_to_utc(F.col("_local"), F.col("_offset"))),
+            "timestamp_local": F.coalesce("_utc", "_local"),
+            "method_code": F.lit(None).cast("string"),
+            "method_name": F.lit(None).cast("string"),
+        }
     )
     known = parsed.join(broadcast_if_small(aliases), "alias_key")
     if regions is not None:
         known = known.where(in_regions(known, F.col("aqsid"), regions))
+    known = known.where(F.col("timestamp_start_utc").isNotNull())
     location = F.concat(F.lit("airnow:"), F.col("aqsid"))
     identified = known.withColumns(
         {

@@ -1,4 +1,4 @@
-"""First row per key and ordered pages."""
+"""First row per key, ordered pages, and a projection evaluated once."""
 
 from __future__ import annotations
 
@@ -27,3 +27,13 @@ def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0, ma
         raise ValueError("offset must not be negative")
     ordered = df.orderBy(*order)
     return (ordered.offset(offset) if offset else ordered).limit(limit)
+
+
+def evaluated(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """Projection whose results later filters use as values.
+
+    The optimizer pushes a filter below a plain projection by repeating the
+    projected expressions in it; for parsed feed fields that means parsing each
+    row several times.  Generated columns stop it.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))

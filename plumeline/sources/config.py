@@ -12,7 +12,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumeline.functions import pollutant_key
 from plumeline.functions.text import zero_fill
@@ -56,15 +55,29 @@ THRESHOLDS = [
 ]
 
 
+_ARROW_TYPES = {
+    "string": pa.string(),
+    "double": pa.float64(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "boolean": pa.bool_(),
+    "date": pa.date32(),
+    "timestamp": pa.timestamp("us", tz="UTC"),
+    "map<string,string>": pa.map_(pa.string(), pa.string()),
+}
+
+
 def local_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str) -> DataFrame:
     """Small literal table as a local relation."""
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns = list(zip(*rows)) or [()] * len(struct.fields)
-    arrow = to_arrow_schema(struct, timezone="UTC")
-    table = pa.Table.from_arrays(
-        [pa.array(list(values), type=field.type) for values, field in zip(columns, arrow)], schema=arrow
+    table = pa.table(
+        {
+            field.name: pa.array(list(values), type=_ARROW_TYPES[field.dataType.simpleString()])
+            for field, values in zip(struct.fields, columns)
+        }
     )
-    return spark.createDataFrame(table, schema=struct)
+    return spark.createDataFrame(table)
 
 
 def pollutant_config(spark: SparkSession, rows: Iterable[Sequence] = POLLUTANTS) -> DataFrame:

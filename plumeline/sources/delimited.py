@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumeline.functions import strip
+from plumeline.operators.ranking import evaluated
 from plumeline.schemas import HOURLY_COLUMNS
 
 # Any of these in the first row, lower-cased, makes it a header.
@@ -103,7 +104,10 @@ def parse_hourly_lines(lines: DataFrame, broadcast_layouts: bool = False) -> Dat
     is_header = F.col("block_start").eqNullSafe(F.col("header_block")) & F.col("line_id").eqNullSafe(
         F.col("header_line")
     )
-    rows = rows.where(~is_header).withColumn("cells", _split(F.col("line"), F.col("piped")))
+    layout = ("headers", "repeats")
+    rows = evaluated(
+        rows.where(~is_header), "object_key", *layout, _split(F.col("line"), F.col("piped")).alias("cells")
+    )
     rows = rows.where(F.exists("cells", lambda c: c != ""))
     entries = F.transform(
         "cells",
@@ -119,7 +123,7 @@ def parse_hourly_lines(lines: DataFrame, broadcast_layouts: bool = False) -> Dat
         lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size("entries")), e["key"]),
     )
     unique = F.when(F.col("repeats"), last_of_key).otherwise(F.col("entries"))
-    return rows.select("object_key", F.map_from_entries(unique).alias("raw_fields"))
+    return evaluated(rows, "object_key", F.map_from_entries(unique).alias("raw_fields"))
 
 
 def read_hourly_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumeline.operators.ranking import evaluated
 from plumeline.schemas import AUTHORITATIVE_FIELDS
 
 # Envelope keys that may hold the rows, in order of preference.
@@ -58,6 +59,6 @@ def authoritative_rows(documents: DataFrame) -> DataFrame:
 def gap_fill_rows(documents: DataFrame) -> DataFrame:
     """Rows of gap-fill documents (SRC-3): objects of a top-level list."""
     rows = _rows(documents, F.try_variant_get(F.col("doc"), "$", "array<variant>"))
-    return rows.select(
-        "object_key", F.try_variant_get(F.col("row"), "$", "map<string,string>").alias("raw_fields")
+    return evaluated(
+        rows, "object_key", F.try_variant_get(F.col("row"), "$", "map<string,string>").alias("raw_fields")
     )

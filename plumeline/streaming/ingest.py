@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plumeline.operators import normalise
 from plumeline.plans.load import run_load
-from plumeline.session import shared_dir
 from plumeline.sources.config import pollutant_aliases, pollutant_config
 from plumeline.sources.delimited import MAX_BROADCAST_FILES, parse_hourly_lines
 from plumeline.sources.documents import authoritative_rows, gap_fill_rows
@@ -61,7 +60,7 @@ def start_ingest(
         stage(store, observed, as_of)
         run_load(store, batch_id, as_of, job=f"stream_{feed}", staged=observed, regions=regions)
 
-    location = checkpoint or f"{shared_dir(spark, store.root + '/_work')}/stream_{feed}"
+    location = checkpoint or f"{store.work_dir}/stream_{feed}"
     writer = source.writeStream.foreachBatch(load).option("checkpointLocation", location)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
