@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("mart_queries", "merge_queries")
+MODULES = ("mart_queries", "merge_queries", "feed_queries")
 
 
 def _merged(attribute: str) -> dict:
