@@ -12,6 +12,7 @@ from plumeline.catalog import fixtures as fx
 from plumeline.catalog.fixtures import with_views
 from plumeline.catalog.merge_queries import as_ntz, region_states
 from plumeline.operators import landing, ledger, normalise, validate
+from plumeline.operators.ranking import evaluated
 from plumeline.operators.windows import months_between, years_between
 from plumeline.plans import refresh
 from plumeline.sources import config
@@ -308,7 +309,8 @@ def _normalize_provisional(spark, sf):
 )
 def _region_filter(spark, sf):
     sites = fx.raw_provisional(spark, sf).select("event_id", fn.normalize_site_id(F.col("aqsid_raw")).alias("aqsid"))
-    return sites.where(normalise.in_regions(sites, F.col("aqsid"), config.region_config(spark, _TEST_REGIONS)))
+    flagged = normalise.with_region_flag(sites, "aqsid", config.region_config(spark, _TEST_REGIONS))
+    return flagged.where("in_region").select("event_id", "aqsid")
 
 
 _STATION = {
@@ -405,7 +407,7 @@ def _hourly_lines(spark, sf):
     )
 
 
-def _order_documents(spark, sf) -> DataFrame:
+def _order_documents(spark, sf, lists_only: bool = False) -> DataFrame:
     """One JSON document per order, its lines (at most a handful) as rows."""
     item = F.struct(
         F.col("l_partkey").cast("string").alias("parameter_code"), F.col("l_discount").alias("arithmetic_mean"),
@@ -414,9 +416,10 @@ def _order_documents(spark, sf) -> DataFrame:
     )
     orders = fx.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(item).alias("rows"))
     enveloped = F.when(
-        F.col("l_orderkey") % 2 == 0, F.to_json(F.struct(F.lit("ok").alias("Header"), F.col("rows").alias("Data")))
+        F.size("rows") > 2, F.to_json(F.struct(F.lit("ok").alias("Header"), F.col("rows").alias("Data")))
     ).otherwise(F.to_json(F.struct(F.col("rows").alias("body"))))
-    text = F.when(F.col("l_orderkey") % 3 == 0, F.to_json("rows")).otherwise(enveloped)
+    listed = F.lit(True) if lists_only else F.size("rows") > 4
+    text = F.when(listed, F.to_json("rows")).otherwise(enveloped)
     return orders.select(F.col("l_orderkey").cast("string").alias("object_key"), F.parse_json(text).alias("doc"))
 
 
@@ -438,11 +441,10 @@ def _authoritative_documents(spark, sf):
 @register(
     "gap_fill_documents",
     """SELECT CAST(l_orderkey AS VARCHAR) AS object_key, l_linenumber AS line, CAST(l_partkey AS VARCHAR) AS part
-       FROM lineitem WHERE l_orderkey % 3 = 0""",
+       FROM lineitem""",
 )
 def _gap_fill_documents(spark, sf):
-    # only documents that are a list hold gap-fill rows, here every third order
-    rows = gap_fill_rows(_order_documents(spark, sf))
+    rows = gap_fill_rows(_order_documents(spark, sf, lists_only=True))
     cell = F.col("raw_fields")
     return rows.select("object_key", cell["line"].cast("int").alias("line"), cell["parameter_code"].alias("part"))
 
@@ -453,7 +455,8 @@ def _gap_fill_documents(spark, sf):
 def _staged_text(spark, sf) -> DataFrame:
     """History rows as staged text, some of them damaged by the size of their value."""
     value, quantity = F.col("value_numeric"), F.col("value_numeric").cast("int")
-    return fx.history(spark, sf, False).select(
+    return evaluated(
+        fx.history(spark, sf, False),
         "record_hash",
         F.when(quantity == 1, "").otherwise(F.col("natural_key")).alias("natural_key"),
         "location_id", "pollutant_code", "metric_type",

@@ -72,7 +72,8 @@ def first_nonzero(*values: Column) -> Column:
 
 def normalize_site_id(value: Column) -> Column:
     """Nine-digit site id: the last nine digits, NULL below nine (NRM-7)."""
-    return F.nullif(F.regexp_extract(F.regexp_replace(value, r"[^0-9]+", ""), r"([0-9]{9})$", 1), F.lit(""))
+    digits = F.regexp_replace(value, r"[^0-9]+", "")
+    return F.get(F.regexp_extract_all(digits, F.lit(r"([0-9]{9})$"), F.lit(1)), F.lit(0))
 
 
 def pollutant_key(value: Column) -> Column:
@@ -84,5 +85,5 @@ def all_present(*values: Column) -> Column:
     """True when every value is neither NULL nor the empty string (VAL-1)."""
     return reduce(
         lambda a, b: a & b,
-        [v.isNotNull() & (F.coalesce(v.cast("string"), F.lit("")) != "") for v in values],
+        [F.coalesce(v.cast("string") != "", F.lit(False)) for v in values],
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from plumeline.functions.text import non_blank, only, parse_number, strip
 
 _ISO_DATE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+_ISO_COMPLETE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})?"
 _ISO_PAIR = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}"
 _ISO_FULL = (
     r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
@@ -40,16 +41,18 @@ def parse_iso_date(value: Column) -> Column:
 def parse_feed_date(value: Column) -> Column:
     """``yyyy-M-d``, ``yyyy/M/d``, ``M/d/yy`` or ``M/d/yyyy`` to a date (DT-5,
     provisional feed).  Two-digit years 69-99 are 19xx, 00-68 are 20xx."""
+    iso = only(strip(value), _ISO_DATE).try_cast("date")
     text = strip(value)
     text = F.regexp_replace(text, r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})$", "$1-$2-$3")
     text = F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", "$3-$1-$2")
     text = F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/(69|[7-9][0-9])$", "19$3-$1-$2")
     text = F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2})$", "20$3-$1-$2")
-    return only(text, _ISO_DATE).try_cast("date")
+    return F.coalesce(iso, only(text, _ISO_DATE).try_cast("date"))  # ISO text skips the rewriting
 
 
 def parse_utc_timestamp(value: Column) -> Column:
     """ISO text, ``Z`` or offset allowed, naive meaning UTC (DT-6)."""
+    complete = only(strip(value), _ISO_COMPLETE).try_cast("timestamp")
     text = F.regexp_replace(strip(value), "Z", "+00:00")
     text = F.regexp_replace(text, r"^([0-9-]+)[T ]", "$1T")
     text = only(text, f"{_ISO_FULL}|{_SHORT_MINUTE}")
@@ -57,7 +60,8 @@ def parse_utc_timestamp(value: Column) -> Column:
     text = F.regexp_replace(text, r"^([^T]+T[0-9]{1,2}:[0-9]{1,2})(?=$|[+-])", "$1:00")
     text = F.regexp_replace(text, r"(T.*[+-][0-9]{2})$", "$1:00")
     text = F.regexp_replace(text, r"(T.*[+-][0-9]{2})([0-9]{2})$", "$1:$2")
-    return F.translate(text, ",", ".").try_cast("timestamp")
+    # complete text, the usual case, skips the rewriting
+    return F.coalesce(complete, F.translate(text, ",", ".").try_cast("timestamp"))
 
 
 def parse_hour(value: Column) -> Column:

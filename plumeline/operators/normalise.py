@@ -168,7 +168,7 @@ def normalise_provisional(
     )
     known = parsed.join(broadcast_if_small(aliases), "alias_key")
     if regions is not None:
-        known = known.where(in_regions(known, F.col("aqsid"), regions))
+        known = with_region_flag(known, "aqsid", regions).where("in_region").drop("in_region")
     known = known.where(F.col("timestamp_start_utc").isNotNull())
     location = F.concat(F.lit("airnow:"), F.col("aqsid"))
     identified = known.withColumns(
@@ -188,23 +188,26 @@ def normalise_provisional(
     )
 
 
-def in_regions(df: DataFrame, site_id: Column, regions: DataFrame) -> Column:
-    """Region membership of a site (JOIN-9): its state, or its state and county,
-    is admitted; an unreadable site id never is; no areas at all admit every site.
+def with_region_flag(df: DataFrame, site_id: str, regions: DataFrame, flag: str = "in_region") -> DataFrame:
+    """Adds whether a nine-digit site lies in the regions (JOIN-9).
 
-    The admitted areas come from configuration (states and counties, at most a
-    few thousand), so they enter the plan as one array per kind.
+    Its state, or its state and county, must be admitted; a NULL site never is;
+    a configuration without any area admits every site.  Two lookup joins, one
+    per kind of area, on size-checked tables.
     """
-    areas = region_areas(regions).agg(
-        F.collect_set(F.when(F.col("county_code").isNull(), F.col("state_code"))).alias("states"),
-        F.collect_set(F.when(F.col("county_code").isNotNull(), F.concat("state_code", "county_code"))).alias("pairs"),
+    areas = region_areas(regions)
+    states = areas.where(F.col("county_code").isNull()).select(
+        F.col("state_code").alias("_area_state"), F.lit(True).alias("_by_state")
     )
-    digits = fn.normalize_site_id(site_id)
-    listed = areas.select(F.struct("states", "pairs")).scalar()
-    states, pairs = listed["states"], listed["pairs"]
-    unrestricted = (F.size(states) == 0) & (F.size(pairs) == 0)
-    member = F.array_contains(states, F.substring(digits, 1, 2)) | F.array_contains(pairs, F.substring(digits, 1, 5))
-    return F.coalesce(digits.isNotNull() & (unrestricted | member), F.lit(False))
+    counties = areas.where(F.col("county_code").isNotNull()).select(
+        F.concat("state_code", "county_code").alias("_area_county"), F.lit(True).alias("_by_county")
+    )
+    none_listed = areas.agg(F.count("state_code") == 0).scalar()
+    joined = df.join(
+        broadcast_if_small(states, regions), F.substring(site_id, 1, 2) == F.col("_area_state"), "left"
+    ).join(broadcast_if_small(counties, regions), F.substring(site_id, 1, 5) == F.col("_area_county"), "left")
+    member = F.coalesce("_by_state", "_by_county", none_listed)
+    return joined.select(*df.columns, (F.col(site_id).isNotNull() & member).alias(flag))
 
 
 def _finish(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumeline import functions as fn
-from plumeline.operators.normalise import in_regions
+from plumeline.operators.normalise import with_region_flag
 from plumeline.schemas import DATA_STATUSES, PROVISIONAL, REQUIRED_FIELDS, SOURCE_SYSTEMS
 
 VALID, REJECTED, REGION_FILTERED = "valid", "rejected", "region_filtered"
@@ -49,9 +49,10 @@ def validated(staged: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     )
     status = F.when(~F.coalesce(usable, F.lit(False)), REJECTED)
     if regions is not None:
-        outside = (F.col("source_system") == PROVISIONAL) & ~in_regions(typed, F.col("aqsid"), regions)
+        typed = with_region_flag(typed.withColumn("_site", fn.normalize_site_id(F.col("aqsid"))), "_site", regions)
+        outside = (F.col("source_system") == PROVISIONAL) & ~F.col("in_region")
         status = status.when(outside, REGION_FILTERED)
-    return typed.withColumn("status", status.otherwise(VALID)).drop("_complete")
+    return typed.withColumn("status", status.otherwise(VALID)).drop("_complete", "_site", "in_region")
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

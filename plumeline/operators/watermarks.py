@@ -84,20 +84,20 @@ def authoritative_tail(watermarks: DataFrame, current: DataFrame, history: DataF
     """One row ``tail``: the maximum stored tail watermark, else the maximum
     timestamp over current and history (AGG-10).
 
-    The fact scans sit behind a join with the one-row "no watermark" check: when
-    a watermark exists that side is empty and AQE drops the scans.
+    The fact scans sit behind a join with the one-row check for a watermark: when
+    there is one, nothing matches and no fact row leaves its scan.
     """
     stored = watermarks.where(
         (F.col("source_name") == AUTHORITATIVE) & F.col("watermark_key").startswith(TAIL_PREFIX)
     ).agg(F.max(fn.parse_utc_timestamp(F.col("watermark_value"))).alias("tail"))
-    missing = stored.where(F.col("tail").isNull()).select(F.lit(1).alias("_one"))
+    # The source name to scan for, NULL (matching nothing) once a tail is stored.
+    wanted = stored.select(F.when(F.col("tail").isNull(), AUTHORITATIVE).alias("source_system"))
     facts = current.select("source_system", "timestamp_start_utc").unionByName(
         history.select("source_system", "timestamp_start_utc")
     )
     scanned = (
         facts.where(F.col("source_system") == AUTHORITATIVE)
-        .withColumn("_one", F.lit(1))
-        .join(F.broadcast(missing), "_one", "left_semi")  # at most one row
+        .join(F.broadcast(wanted), "source_system", "left_semi")  # one row
         .agg(F.max("timestamp_start_utc").cast("timestamp").alias("tail"))
     )
     return stored.unionByName(scanned).agg(F.max("tail").alias("tail"))

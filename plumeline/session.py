@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles methods above 8000 bytes.  Feed parsing generates
+    # larger ones when fused into one stage; below this limit Spark runs those
+    # operators with split-up generated projections instead (several times faster).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
