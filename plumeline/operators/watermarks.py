@@ -80,6 +80,17 @@ def tail_watermarks(current: DataFrame, regions: DataFrame, pollutants: DataFram
     )
 
 
+def raised_tails(stored: DataFrame, batch_tails: DataFrame) -> DataFrame:
+    """Tail watermarks after a batch: per key the later of the stored value and
+    the batch's own tail.  Current never loses a key, so this equals a scan of
+    the whole current table without reading it."""
+    kept = stored.where(
+        (F.col("source_name") == AUTHORITATIVE) & F.col("watermark_key").startswith(TAIL_PREFIX)
+    ).select("source_name", "watermark_key", "watermark_value")
+    later = F.max_by("watermark_value", fn.parse_utc_timestamp(F.col("watermark_value")))
+    return kept.unionByName(batch_tails).groupBy("source_name", "watermark_key").agg(later.alias("watermark_value"))
+
+
 def authoritative_tail(watermarks: DataFrame, current: DataFrame, history: DataFrame) -> DataFrame:
     """One row ``tail``: the maximum stored tail watermark, else the maximum
     timestamp over current and history (AGG-10).
