@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import wraps
 from importlib import import_module
 
+from plumeline.session import prepare
+
 MODULES = ("mart_queries", "merge_queries", "feed_queries")
 
 
@@ -14,8 +17,16 @@ def _merged(attribute: str) -> dict:
     return merged
 
 
+def _prepared(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        return query(prepare(spark), sf_dir)
+
+    return run
+
+
 def queries() -> dict:
-    return _merged("QUERIES")
+    return {name: _prepared(query) for name, query in _merged("QUERIES").items()}
 
 
 def oracles() -> dict:

@@ -53,7 +53,7 @@ def record_hash(**fields: Column) -> Column:
 
 def sorted_map(value: Column) -> Column:
     """The same map with entries in key order, so equal maps print alike."""
-    return F.map_from_entries(F.array_sort(F.map_entries(value)))
+    return F.map_from_entries(F.sort_array(F.map_entries(value)))
 
 
 def row_lineage_hash(object_key: Column, dataset: Column, raw_fields: Column) -> Column:

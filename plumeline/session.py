@@ -32,6 +32,14 @@ def build_session(app_name: str = "plumeline", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply to a session built elsewhere what results (UTC) and feed parsing
+    (method size) depend on."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def shared_dir(spark: SparkSession, fallback: str) -> str:
     """Folder for intermediate tables: the one the cluster names, else ``fallback``.
 

@@ -50,8 +50,8 @@ def _unquoted(cell: Column) -> Column:
 
 
 def _split(line: Column, piped: Column) -> Column:
-    # Lines without quotes, the usual case, take the plain split.
-    plain = F.transform(F.split(line, F.when(piped, F.lit("\\|")).otherwise(F.lit(","))), strip)
+    # Lines without quotes, the usual case, are trimmed and split in one go.
+    plain = F.split(strip(line), F.when(piped, F.lit(r"\s*\|\s*")).otherwise(F.lit(r"\s*,\s*")))
     quoted = F.when(piped, _cells(line, "|")).otherwise(_cells(line, ","))
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
 
@@ -62,13 +62,13 @@ def file_layouts(lines: DataFrame) -> DataFrame:
     known columns."""
 
     def first_with_text(ignored: str) -> Column:
-        filled = F.length(F.regexp_replace("line", ignored, "")) > 0
+        filled = F.col("line").rlike(rf"[^\s{ignored}]")
         return F.min(F.when(filled, F.struct("block_start", "line_id", "line")))
 
     found = lines.groupBy("object_key").agg(
-        first_with_text(r"\s")["line"].alias("first_line"),
-        first_with_text(r'[\s|"]').alias("first_piped"),
-        first_with_text(r'[\s,"]').alias("first_comma"),
+        first_with_text("")["line"].alias("first_line"),
+        first_with_text('|"').alias("first_piped"),
+        first_with_text(',"').alias("first_comma"),
     )
     piped = F.contains("first_line", F.lit("|"))
     found = found.withColumn("piped", piped).withColumn(
@@ -108,7 +108,7 @@ def parse_hourly_lines(lines: DataFrame, broadcast_layouts: bool = False) -> Dat
     rows = evaluated(
         rows.where(~is_header), "object_key", *layout, _split(F.col("line"), F.col("piped")).alias("cells")
     )
-    rows = rows.where(F.exists("cells", lambda c: c != ""))
+    rows = rows.where(F.array_join("cells", "") != "")
     entries = F.transform(
         "cells",
         lambda cell, i: F.struct(
@@ -116,14 +116,21 @@ def parse_hourly_lines(lines: DataFrame, broadcast_layouts: bool = False) -> Dat
             cell.alias("value"),
         ),
     )
-    rows = rows.withColumn("entries", entries)
+    # Usually headers are distinct and cover the cells: two arrays make the map.
+    count = F.size("cells")
+    simple = ~F.col("repeats") & (count <= F.size("headers"))
+    paired = F.map_from_arrays(F.slice("headers", 1, F.greatest(count, F.lit(1))), "cells")
+    rows = rows.withColumns(
+        {"paired": F.when(simple, paired), "entries": F.when(~simple, entries)}
+    )
     keys = F.transform("entries", lambda e: e["key"])
     last_of_key = F.filter(
         "entries",
         lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size("entries")), e["key"]),
     )
     unique = F.when(F.col("repeats"), last_of_key).otherwise(F.col("entries"))
-    return evaluated(rows, "object_key", F.map_from_entries(unique).alias("raw_fields"))
+    fields = F.coalesce("paired", F.map_from_entries(unique))
+    return evaluated(rows, "object_key", fields.alias("raw_fields"))
 
 
 def read_hourly_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
