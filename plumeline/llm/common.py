@@ -1,9 +1,10 @@
 """Helpers shared by the training-data operators.
 
-* :func:`materialise` cuts lineage with a Parquet table in the folder that
+* :class:`Scratch` cuts lineage with a Parquet table in the folder that
   ``spark.checkpoint.dir`` names, so lost executors cost one step, not the plan;
 * :func:`components` labels connected components of an edge table with joins
   and aggregates only;
+* :func:`running_totals` sums what sorts ahead of each row, over all partitions;
 * :func:`words` is the one definition of a word used by all text operators.
 """
 
@@ -11,9 +12,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The contract's word: a run of characters that are neither space nor \t..\r.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -119,3 +126,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
         .select(F.least("m", "node").alias("u"), F.greatest("m", "node").alias("v"))
         .distinct()
     )
+
+
+def running_totals(df: DataFrame, order: list[Column], value: str, scratch: Scratch) -> DataFrame:
+    """``df`` with ``before``: the sum of ``value`` (whole, not negative) over all rows
+    that sort ahead.  Rows are range-partitioned and summed within their partitions;
+    what is broadcast has one row per partition.  ``df`` should be a written table, as the
+    range bounds are sampled from it first."""
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_run", T.LongType())])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            values = batch[value].to_numpy(zero_copy_only=False).astype(np.int64)
+            run = total + np.cumsum(values) - values
+            total += int(values.sum())
+            columns = [*batch.columns, pa.array(np.full(len(run), part)), pa.array(run)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    parts = scratch.save(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sums, schema))
+    totals = parts.groupBy("_part").agg(F.max(F.col("_run") + F.col(value)).alias("sum"))
+    ahead = totals.select(
+        "_part", F.coalesce(F.sum("sum").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("ahead")
+    )
+    return parts.join(F.broadcast(ahead), "_part").withColumn("before", F.col("_run") + F.col("ahead")).drop("_part", "_run", "ahead")

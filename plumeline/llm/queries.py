@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumeline.llm import minhash, packing, quality
+from plumeline.llm import line_dedup, minhash, mixing, packing, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without repeated passages."""
+    cut = line_dedup.drop_repeated_chunks(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", F.col("_lines_out").alias("lines_out"), F.col("_words_out").alias("words_out"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
     import public_tokenizers
@@ -23,6 +30,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    return sharding.shard(_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150 percent takes of every document."""
+    return mixing.taken_words(_table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets agree to 85 percent."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85, halves=10, rows=3)
@@ -30,7 +47,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
     "op4_packing": op4_packing,
+    "op5_sharding": op5_sharding,
+    "op6_mixing": op6_mixing,
     "op9_minhash": op9_minhash,
 }
 ORACLES: dict[str, str] = {}
