@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumeline.llm import line_dedup, minhash, mixing, packing, quality, sharding
+from plumeline.llm import ann, html_text, licences, line_dedup, minhash, mixing, packing, quality, sharding, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", F.col("_lines_out").alias("lines_out"), F.col("_words_out").alias("words_out"))
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of every document that speaks of a licence."""
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
     import public_tokenizers
@@ -40,17 +45,47 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(_table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laid-out visible text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets agree to 85 percent."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85, halves=10, rows=3)
 
 
+# The contract's rules (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string").coalesce(1)
+    return url_rules.judge(_table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
+    "op3_licence_scan": op3_licence_scan,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
+    "op7_html_text": op7_html_text,
+    "op8_neighbours": op8_neighbours,
     "op9_minhash": op9_minhash,
+    "op10_url_rules": op10_url_rules,
 }
 ORACLES: dict[str, str] = {}
