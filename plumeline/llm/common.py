@@ -65,6 +65,16 @@ class Scratch:
         path.getFileSystem(conf).delete(path, True)
 
 
+def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows, those whose 64-bit hash ``key`` lies in the lowest part of its range;
+    all of a shorter table.  Nothing is sorted, and rows with one hash count once."""
+    hashed = df.withColumn("_key", key)
+    total = hashed.count()
+    if total > rows:
+        hashed = hashed.where(F.col("_key") < int(-(2**63) + 2**64 * rows / total))
+    return hashed.dropDuplicates(["_key"]).limit(2 * rows).drop("_key")
+
+
 def symmetric(edges: DataFrame) -> DataFrame:
     """Each edge in both directions, without repeats and loops."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

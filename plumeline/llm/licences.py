@@ -19,6 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from plumeline.llm.common import hash_sample
 
 # Customary wording of licence notices, by family.
 NOTICES = {
@@ -77,7 +80,7 @@ UNKNOWN = [
     "see the license file for the terms of use",
 ]
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
-#: Documents sampled for the class ``none``, those with the smallest hashes; paragraphs used of them.
+#: Documents sampled for the class ``none``, about; paragraphs used of them.
 SAMPLE_DOCS = 1500
 SAMPLE_PARAGRAPHS = 3000
 VARIATIONS = 60
@@ -192,12 +195,12 @@ def train(background: list[str], seed: int = 11) -> Classifier:
 
 
 def fit(docs: DataFrame) -> Classifier:
-    """Classifier whose class ``none`` is ``SAMPLE_PARAGRAPHS`` lines, at most, of
+    """Classifier whose class ``none`` is ``SAMPLE_PARAGRAPHS`` lines, at most, of about
     ``SAMPLE_DOCS`` documents, of each its first 20 lines of up to 2,000 characters."""
-    lines = F.slice(F.split("text", "\n"), 1, 20)
-    sample = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.transform(lines, lambda x: F.substring(x, 1, 2000)).alias("lines"))
-    rows = sample.where("lines is not null").orderBy("h").limit(SAMPLE_DOCS).collect()
-    paragraphs = [line for r in rows for line in r["lines"] if line.strip()]
+    lines = F.transform(F.slice(F.split("text", "\n"), 1, 20), lambda x: F.substring(x, 1, 2000))
+    texts = docs.select("doc_id", "text").where("text is not null")
+    rows = hash_sample(texts, F.xxhash64("doc_id", "text"), SAMPLE_DOCS).select("doc_id", lines.alias("lines")).collect()
+    paragraphs = sorted(line for r in rows for line in r["lines"] if line.strip())
     step = max(1, len(paragraphs) // SAMPLE_PARAGRAPHS)
     return train(paragraphs[::step][:SAMPLE_PARAGRAPHS])
 
@@ -229,7 +232,5 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     model = pickle.dumps(fit(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    from pyspark.sql.pandas.types import to_arrow_type
-
     shape = f"doc_id {kind}, paragraph int, family string, probability double, overlap double, confirmed boolean, text string"
     return docs.select("doc_id", "text").mapInArrow(_scan(model, to_arrow_type(docs.schema["doc_id"].dataType)), shape)
