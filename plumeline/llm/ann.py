@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumeline.llm.common import Scratch
+from plumeline.llm.common import Scratch, hash_sample
 
-#: Rows the model is fitted on, at most; those with the smallest hashes of id and vector.
+#: Rows the model is fitted on, about (twice as many at most).
 SAMPLE_ROWS = 6000
 ROWS_PER_PARTITION = 100
 GRAPH_DEGREE = 20
@@ -238,7 +238,7 @@ def nearest(
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.where("vec_id is not null and vector is not null").where(fine).withColumn("hash", F.xxhash64("vector"))
     rows = scratch.save(rows.dropDuplicates(["vec_id", "hash", "vector"]))
-    sample = rows.orderBy(F.xxhash64("vec_id", "hash"), "vec_id").limit(sample_rows).select("vector").collect()
+    sample = sorted(hash_sample(rows, F.xxhash64("vec_id", "hash"), sample_rows).select("vec_id", "vector").collect())
     schema = "query_id long, rank int, vec_id long, score double"
     if not sample:
         return spark.createDataFrame([], schema)
