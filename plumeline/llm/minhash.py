@@ -30,7 +30,7 @@ from plumeline.llm.common import Scratch, components
 
 MAX_CACHED_WORDS = 300_000
 # A block of a cluster holds about so many shingles; a task compares two blocks.
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 100_000
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
 
@@ -237,7 +237,9 @@ def near_duplicates(
         f"flatten(transform(slice(keys, 1, {halves}), (l, i) -> "
         f"transform(slice(keys, {halves + 1}, {halves}), (r, j) -> xxhash64(i, j, l, r))))"
     )
-    keyed = nodes.select("node", F.explode(tables).alias("key"))
+    # A row becomes halves ** 2 keys, so rows are dealt anew before.
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = nodes.select("node", "keys").repartition(width, "node").select("node", F.explode(tables).alias("key"))
     least = keyed.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u <> top")
     ties = keyed.join(least.select("key", "u"), "key").where("u <> node").select("u", F.col("node").alias("v")).distinct()
     clusters = scratch.save(components(ties, scratch))
