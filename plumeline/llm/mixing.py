@@ -16,6 +16,7 @@ from itertools import islice
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumeline.llm.common import Scratch, running_totals, words
 
@@ -60,17 +61,19 @@ def schedule(docs: DataFrame, scratch: Scratch, row: str = "_row", seed: int = 2
     """Both copies of every row of ``docs (row, doc_id, source, size, text_hash)`` with the words taken.
 
     Returns ``row, doc_id, copy, size, source_size, target, words, mix_start``: the copy's words and
-    the words of the mix before it.  Order in a source is the seeded hash of id and text,
-    then the row number.
+    the words of the mix before it.  Order in a source is a seeded hash of the id, then id,
+    hash of the text and row number.
     """
     goal = targets(docs, scratch)
-    shuffled = docs.withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id", "text_hash"))
-    order = [F.col("source").isNull(), F.col("source"), F.col("_hash"), F.col("doc_id"), F.col(row)]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
+    shuffled = docs.withColumn("_hash", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
+    shuffle = [F.col("_hash"), F.col("doc_id"), F.col("text_hash")]
+    order = [F.col("source").isNull(), F.col("source"), *shuffle, F.col(row)]
     lined = scratch.save(running_totals(shuffled, order, "size", scratch))
     firsts = lined.groupBy("source").agg(F.min("before").alias("first"))
     goal = goal.join(firsts, goal["source"].eqNullSafe(firsts["source"])).select(goal["*"], "first")
     served = lined.alias("d").join(goal.alias("g"), F.col("d.source").eqNullSafe(F.col("g.source"))).select(
-        row, "doc_id", "size", "source_size", "target", "_hash", (F.col("before") - F.col("first")).alias("ahead")
+        row, "doc_id", "size", "source_size", "target", "_hash", "text_hash", (F.col("before") - F.col("first")).alias("ahead")
     )
     copies = served.withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(MAX_COPIES)])))
     start = F.col("copy") * F.col("source_size") + F.col("ahead")
@@ -80,7 +83,7 @@ def schedule(docs: DataFrame, scratch: Scratch, row: str = "_row", seed: int = 2
         "finish", F.when(F.col("target") > 0, (start + F.col("in_time")) / F.col("target")).otherwise(F.lit(1.0))
     )
     copies = scratch.save(copies.drop("ahead"))
-    fair = [F.col("in_time") == 0, F.col("finish"), F.col("_hash"), F.col("doc_id"), F.col("copy"), F.col(row)]
+    fair = [F.col("in_time") == 0, F.col("finish"), *shuffle, F.col("copy"), F.col(row)]
     mixed = running_totals(copies, fair, "in_time", scratch)
     budget = (docs.agg(F.sum("size")).first()[0] or 0) * BUDGET_PERCENT // 100
     room = F.greatest(F.lit(budget) - F.col("before"), F.lit(0))
@@ -128,7 +131,7 @@ def mix(docs: DataFrame) -> DataFrame:
     return joined.withColumn("text", F.coalesce(cut, F.col("text"))).select(*docs.columns, "mix_start")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _first_words(text: pd.Series, count: pd.Series) -> pd.Series:
     """Texts up to their ``count``-th word; null texts, those of whole copies, stay null."""
 

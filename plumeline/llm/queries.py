@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumeline.llm import ann, html_text, licences, line_dedup, minhash, mixing, packing, quality, sharding, url_rules
+from plumeline.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,8 +36,6 @@ def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
-    import public_tokenizers
-
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -76,7 +80,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
     "op3_licence_scan": op3_licence_scan,
@@ -88,4 +92,3 @@ QUERIES = {
     "op9_minhash": op9_minhash,
     "op10_url_rules": op10_url_rules,
 }
-ORACLES: dict[str, str] = {}
