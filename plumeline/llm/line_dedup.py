@@ -82,39 +82,34 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def cut_chunks(text: str, removed: set[int]) -> tuple[str, int, int]:
+    """The text without the chunks of these numbers, and the lines and words taken out."""
+    raw = text.encode()
+    lines, kept, gone, words = raw.split(b"\n"), [], 0, 0
+    for k, (a, b) in enumerate(chunks(raw)):
+        if k in removed:
+            gone += b - a
+            words += sum(len(line.split()) for line in lines[a:b])
+        else:
+            kept += lines[a:b]
+    return b"\n".join(kept).decode(), gone, words
+
+
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``text`` without the chunks of ``removed``; counts of lines and words taken out."""
+    """``doc`` as it is, the new ``text`` and what was cut."""
     for batch in batches:
-        texts, lines_out, words_out = [], [], []
-        for text, removed in zip(batch["text"].to_pylist(), batch["removed"].to_pylist()):
-            gone = 0
-            words = 0
-            if removed:
-                raw = text.encode()
-                lines, drop, kept = raw.split(b"\n"), set(removed), []
-                for k, (a, b) in enumerate(chunks(raw)):
-                    if k in drop:
-                        gone += b - a
-                        words += sum(len(line.split()) for line in lines[a:b])
-                    else:
-                        kept += lines[a:b]
-                text = b"\n".join(kept).decode()
-            texts.append(text)
-            lines_out.append(gone)
-            words_out.append(words)
-        at = batch.schema.get_field_index("text")
-        columns = list(batch.columns)
-        columns[at] = pa.array(texts, batch.schema.field(at).type)
-        columns = [c for c, n in zip(columns, batch.schema.names) if n != "removed"]
-        names = [n for n in batch.schema.names if n != "removed"]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(lines_out, pa.int64()), pa.array(words_out, pa.int64())], names=[*names, "_lines_out", "_words_out"]
-        )
+        rows = [
+            cut_chunks(text, set(removed)) if removed else (text, 0, 0)
+            for text, removed in zip(batch["text"].to_pylist(), batch["removed"].to_pylist())
+        ]
+        texts, lines, words = zip(*rows) if rows else ((), (), ())
+        columns = [batch["doc"], pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(words, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "text", "lines_out", "words_out"])
 
 
-def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with repeated chunks cut out of ``text``, and the counts
-    ``_lines_out, _words_out`` of what was cut.
+def rewritten(docs: DataFrame) -> DataFrame:
+    """``doc`` (the other columns), ``text`` without repeated chunks, and the counts
+    ``lines_out, words_out`` of what was cut.
 
     ``docs`` needs ``doc_id`` (whole number) and ``text``.  All documents stay, even if nothing is left of their text; null
     and empty texts stay as they are.  The first of equal chunks is the one with the least
@@ -122,7 +117,6 @@ def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
     are one document and keep the same chunks.  An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    key = {"_id": F.col("doc_id").cast("long"), "_text_hash": F.xxhash64("text")}
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     listed = scratch.save(
         named.mapInArrow(_list_chunks, "doc_id long, text_hash long, h1 long, h2 long, chunk int").distinct()
@@ -143,11 +137,17 @@ def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
 
     later = found.join(equal, ["h1", "h2"]).where("not (struct(doc_id, text_hash, chunk) <=> keeper)")
     cuts = later.groupBy("doc_id", "text_hash").agg(F.collect_list("chunk").alias("removed")).select(
-        F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), "removed"
+        F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), "removed"
     )
     cuts = scratch.save(cuts)
-    keyed = docs.withColumns(key)
-    match = keyed["_id"].eqNullSafe(cuts["_cut_id"]) & (keyed["_text_hash"] == cuts["_cut_hash"])
-    joined = keyed.join(cuts, match, "left").select(*docs.columns, "removed")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(_rewrite, f"{schema}, _lines_out long, _words_out long")
+    others = F.struct(*[c for c in docs.columns if c != "text"])
+    keyed = docs.select(others.alias("doc"), "text", F.xxhash64("text").alias("hash"))
+    match = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("cut_id")) & (F.col("hash") == F.col("cut_hash"))
+    joined = keyed.join(cuts, match, "left").select("doc", "text", "removed")
+    shape = f"doc {joined.schema['doc'].dataType.simpleString()}, text string, lines_out long, words_out long"
+    return joined.mapInArrow(_rewrite, shape)
+
+
+def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, with repeated chunks cut out of ``text`` as in :func:`rewritten`."""
+    return rewritten(docs).select(*["text" if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])

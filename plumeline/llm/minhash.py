@@ -289,5 +289,7 @@ def near_duplicates(
 def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The documents, all columns, that stay when one of each group of near
     copies is kept, the one with the smallest ``doc_id``.  Rows that repeat a kept ``doc_id`` stay."""
-    dropped = near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti").select(*docs.columns)
+    named = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("id"))
+    found = near_duplicates(docs, shingle, percent)
+    dropped = found.where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
+    return named.join(dropped, F.col("id") == F.col("dropped"), "left_anti").select("doc.*")

@@ -108,7 +108,7 @@ def taken_words(docs: DataFrame) -> DataFrame:
     the last; repeated rows are taken each.  No rows, or no words at all, give targets of 0.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    sized = scratch.save(_sized(docs.withColumn("_row", F.monotonically_increasing_id())))
+    sized = scratch.save(_sized(docs.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("_row"))))
     copies = schedule(sized, scratch)
     return copies.groupBy("_row").agg(
         F.max("doc_id").alias("doc_id"),
@@ -121,14 +121,16 @@ def taken_words(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix itself: a row of ``docs`` (all columns) for every copy taken, and
-    ``mix_start``.  Of a document cut at the budget the text ends with its last word taken."""
+    """The mix itself: a row of ``docs`` (all columns) for every copy taken.  Of a document
+    cut at the budget the text ends with its last word taken."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    kept = scratch.save(docs.withColumn("_row", F.monotonically_increasing_id()))
-    copies = schedule(scratch.save(_sized(kept)), scratch).where("words > 0").select(F.col("_row").alias("_taken"), "size", "words", "mix_start")
+    kept = scratch.save(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("_row")))
+    sized = scratch.save(_sized(kept.select("_row", "doc.doc_id", "doc.source", "doc.text")))
+    copies = schedule(sized, scratch).where("words > 0").select(F.col("_row").alias("_taken"), "size", "words")
     joined = kept.join(copies, F.col("_row") == F.col("_taken"))
-    cut = _first_words(F.when(F.col("words") < F.col("size"), F.col("text")), F.col("words"))
-    return joined.withColumn("text", F.coalesce(cut, F.col("text"))).select(*docs.columns, "mix_start")
+    cut = _first_words(F.when(F.col("words") < F.col("size"), F.col("doc.text")), F.col("words"))
+    joined = joined.withColumn("cut", F.coalesce(cut, F.col("doc.text")))
+    return joined.select(*[F.col("cut").alias("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])
 
 
 @F.pandas_udf(T.StringType())

@@ -183,8 +183,8 @@ def keep_good(docs: DataFrame, min_group: int = MIN_GROUP, fence: int = FENCE) -
     """The documents, all columns, that the rules keep.  A document is named by
     ``doc_id`` and the hash of its text, language and source, so rows that share an id
     are judged apart and repeated rows stay together."""
-    identity = F.xxhash64("text", "lang", "source")
-    named = docs.withColumn("_identity", F.struct("doc_id", identity.alias("h")))
-    verdict = judge(named.select(F.col("_identity").alias("doc_id"), "text", "lang", "source"), min_group, fence)
-    rejected = verdict.where("not kept").select(F.col("doc_id").alias("_rejected")).distinct()
-    return named.join(rejected, F.col("_identity").eqNullSafe(F.col("_rejected")), "left_anti").select(*docs.columns)
+    identity = F.struct("doc_id", F.xxhash64("text", "lang", "source").alias("h"))
+    named = docs.select(F.struct(*docs.columns).alias("doc"), identity.alias("identity"))
+    judged = named.select(F.col("identity").alias("doc_id"), "doc.text", "doc.lang", "doc.source")
+    rejected = judge(judged, min_group, fence).where("not kept").select(F.col("doc_id").alias("rejected")).distinct()
+    return named.join(rejected, F.col("identity").eqNullSafe(F.col("rejected")), "left_anti").select("doc.*")

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumeline.llm import ann, html_text, licences, line_dedup, minhash, mixing, packing, quality, sharding, url_rules
 from plumeline.llm.oracles import ORACLES
@@ -25,8 +24,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without repeated passages."""
-    cut = line_dedup.drop_repeated_chunks(_table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "text", F.col("_lines_out").alias("lines_out"), F.col("_words_out").alias("words_out"))
+    return line_dedup.rewritten(_table(spark, sf_dir, "documents")).select("doc.doc_id", "text", "lines_out", "words_out")
 
 
 def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
