@@ -145,6 +145,7 @@ class _Text:
         self.parts: list[str] = []
         self.space = False
         self.gap = 0
+        self.keep = False  # spaces at the ends of the line under construction stay
         self.prefix, self.mark = "", None
 
     def add(self, text: str) -> None:
@@ -163,9 +164,13 @@ class _Text:
     def add_line(self, line: str) -> None:
         """A finished line, spaces kept."""
         self.end(1)
+        self.add_raw(line)
+        self.end(1)
+
+    def add_raw(self, text: str) -> None:
         self._open()
-        self.parts.append(line)
-        self.end(1, keep=True)
+        self.parts.append(text)
+        self.keep = True
 
     def _open(self) -> None:
         if not self.parts:
@@ -174,14 +179,15 @@ class _Text:
             self.gap = 0
             self.space = False
 
-    def end(self, gap: int, keep: bool = False) -> None:
+    def end(self, gap: int) -> None:
         if self.parts:
             line = "".join(self.parts)
             head = self.prefix
             if self.mark is not None:
                 head, self.mark = self.mark, None
-            self.lines.append(head + (line if keep else line.strip(" ")))
+            self.lines.append(head + (line if self.keep else line.strip(" ")))
             self.parts = []
+        self.keep = False
         self.space = False
         self.gap = max(self.gap, gap)
 
@@ -203,15 +209,10 @@ def _render(node: Node, out: _Text, visible: bool, depth: int, pre: bool) -> Non
             if not visible:
                 continue
             if pre:
-                first, *rest = child.replace("\r\n", "\n").split("\n")
-                out._open()
-                out.parts.append(first)
-                for line in rest:
-                    if not out.parts:
-                        out.parts.append("")
-                    out.end(1, keep=True)
-                    out._open()
-                    out.parts.append(line)
+                for k, line in enumerate(child.replace("\r\n", "\n").split("\n")):
+                    if k:
+                        out.end(1)
+                    out.add_raw(line)
             else:
                 out.add(child)
             continue
