@@ -131,7 +131,8 @@ def rewritten(docs: DataFrame) -> DataFrame:
     # Byte comparison: every repeated chunk's texts, equal ones combined in each task.
     per_doc = found.groupBy("doc_id", "text_hash").agg(F.collect_list("chunk").alias("listed"))
     same = named["doc_id"].eqNullSafe(per_doc["doc_id"]) & (named["text_hash"] == per_doc["text_hash"])
-    bodies = named.join(per_doc, same).select("text", "listed").mapInArrow(_bodies, "h1 long, h2 long, body binary")
+    # Both sides of the joins with texts grow with the corpus: never a broadcast.
+    bodies = named.join(per_doc.hint("merge"), same).select("text", "listed").mapInArrow(_bodies, "h1 long, h2 long, body binary")
     variants = bodies.groupBy("h1", "h2", "body").count().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("texts"))
     equal = variants.where("texts = 1").select("h1", "h2")
 
@@ -143,7 +144,7 @@ def rewritten(docs: DataFrame) -> DataFrame:
     others = F.struct(*[c for c in docs.columns if c != "text"])
     keyed = docs.select(others.alias("doc"), "text", F.xxhash64("text").alias("hash"))
     match = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("cut_id")) & (F.col("hash") == F.col("cut_hash"))
-    joined = keyed.join(cuts, match, "left").select("doc", "text", "removed")
+    joined = keyed.join(cuts.hint("merge"), match, "left").select("doc", "text", "removed")
     shape = f"doc {joined.schema['doc'].dataType.simpleString()}, text string, lines_out long, words_out long"
     return joined.mapInArrow(_rewrite, shape)
 
