@@ -609,6 +609,35 @@ def _newest_manifests(spark, sf):
     )
 
 
+@register(
+    "unstaged_manifests",
+    f"""WITH {_MANIFEST_SQL}, staged AS (
+             SELECT substring(sha256(text), 1, 2) AS object_key, max({_DOC_AT}) AS staged_at FROM documents WHERE doc_id % 3 = 0 GROUP BY 1)
+        SELECT m.* FROM manifest m WHERE m.dataset = (SELECT min(dataset) FROM manifest) AND NOT EXISTS (
+          SELECT 1 FROM staged s WHERE s.object_key = m.object_key AND s.staged_at >= m.extracted_at)""",
+)
+def _unstaged_manifests(spark, sf):
+    rows = _manifest(spark, sf)
+    first = rows.agg(F.min("dataset")).scalar()
+    thirds = rows.where(F.substring("source_url", 5, 20).cast("bigint") % 3 == 0)
+    staging = thirds.select("object_key", F.col("extracted_at").alias("ingested_at"))
+    chosen = rows.withColumn("dataset", F.when(F.col("dataset") == first, "chosen"))
+    return landing.unstaged_manifests(chosen, staging, "chosen").withColumn("dataset", first)
+
+
+@register(
+    "row_lineage_hashes",
+    """SELECT event_id, sha256(concat('{"dataset":"events","object_key":"', CAST(user_id AS VARCHAR), '","source_row":{"kind":"',
+              event_type, '","user":"', CAST(user_id AS VARCHAR), '"}}')) AS source_row_hash FROM events""",
+)
+def _row_lineage_hashes(spark, sf):
+    user = F.col("user_id").cast("string")
+    fields = F.create_map(F.lit("user"), user, F.lit("kind"), F.col("event_type"))
+    return fx.table(spark, sf, "events").select(
+        "event_id", fn.row_lineage_hash(user, F.lit("events"), fields).alias("source_row_hash")
+    )
+
+
 _HOURS_SQL = """
 spine AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS hour_start_utc),
 expected AS (SELECT hour_start_utc, concat('HourlyData_', strftime(hour_start_utc, '%Y%m%d%H'), '.dat') AS file_name FROM spine),
@@ -759,20 +788,25 @@ def _freshness_check(spark, sf):
     "mart_row_counts",
     with_views(
         "cur location pollutant threshold",
-        """, daily AS (SELECT c.*, l.state_code, l.county_code, CAST(timestamp_start_utc AS DATE) AS day
-                       FROM cur c JOIN location l USING (location_id) WHERE data_granularity = 'daily'),
-           region_days AS (SELECT state_code, county_code, pollutant_code, day, avg(value_numeric) AS v FROM daily GROUP BY ALL),
-           scored AS (SELECT v, avg(v) OVER w AS m, stddev_samp(v) OVER w AS s FROM region_days
-             WINDOW w AS (PARTITION BY state_code, county_code, pollutant_code ORDER BY day ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
-           SELECT 'latest_station' AS mart, count(*) AS row_count FROM (SELECT DISTINCT location_id, pollutant_code FROM daily)
-           UNION ALL SELECT 'daily_trend', count(*) FROM (SELECT DISTINCT location_id, pollutant_code, day FROM daily)
-           UNION ALL SELECT 'monthly_trend', count(*) FROM (SELECT DISTINCT location_id, pollutant_code, date_trunc('month', day) FROM daily)
-           UNION ALL SELECT 'seasonal_trend', count(*) FROM (SELECT DISTINCT location_id, pollutant_code, year(day), quarter(day) FROM daily)
-           UNION ALL SELECT 'region_coverage', count(*) FROM (
-             SELECT DISTINCT state_code, county_code, pollutant_code, day FROM daily WHERE state_code IS NOT NULL)
-           UNION ALL SELECT 'exceedance_events', count(*) FROM daily d JOIN threshold t
-             ON d.pollutant_code = t.pollutant_code AND d.unit = t.unit AND t.is_active AND d.value_numeric > t.threshold_value
-           UNION ALL SELECT 'anomaly_spikes', count(*) FROM scored WHERE s > 0 AND abs((v - m) / s) >= 2.5""",
+        """, facts AS (
+             SELECT {'l': location_id, 'p': pollutant_code} AS series, {'s': state_code, 'c': county_code, 'p': pollutant_code} AS region,
+                    CAST(timestamp_start_utc AS DATE) AS day, value_numeric AS v, unit, state_code
+             FROM cur NATURAL JOIN (SELECT location_id, state_code, county_code FROM location) WHERE data_granularity = 'daily'),
+           numbered AS (
+             SELECT region, v, row_number() OVER (PARTITION BY region ORDER BY day) AS nth
+             FROM (SELECT region, day, sum(v) / count(*) AS v FROM facts GROUP BY ALL)),
+           spread AS (
+             SELECT any_value(d.v) AS v, avg(e.v) AS m, stddev_samp(e.v) AS s
+             FROM numbered d JOIN numbered e ON e.region IS NOT DISTINCT FROM d.region AND e.nth BETWEEN d.nth - 30 AND d.nth - 1
+             GROUP BY d.region, d.nth)
+           SELECT unnest(['latest_station', 'daily_trend', 'monthly_trend', 'seasonal_trend', 'region_coverage']) AS mart,
+                  unnest([count(DISTINCT series), count(DISTINCT {'x': series, 'd': day}),
+                          count(DISTINCT {'x': series, 'd': strftime(day, '%Y-%m')}),
+                          count(DISTINCT {'x': series, 'y': year(day), 'q': quarter(day)}),
+                          count(DISTINCT {'x': region, 'd': day}) FILTER (WHERE state_code IS NOT NULL)]) AS row_count FROM facts
+           UNION ALL SELECT 'exceedance_events', CAST(sum((SELECT count(*) FROM facts f WHERE f.series.p = t.pollutant_code
+             AND f.unit = t.unit AND f.v > t.threshold_value)) AS BIGINT) FROM threshold t WHERE t.is_active
+           UNION ALL SELECT 'anomaly_spikes', count(*) FROM spread WHERE s > 0 AND abs(v - m) >= 2.5 * s""",
     ),
 )
 def _mart_row_counts(spark, sf):

@@ -260,7 +260,7 @@ def _key_granularity_mapping(spark, sf):
         """, last AS (SELECT * FROM (
              SELECT location_id, record_hash, value_numeric,
                     row_number() OVER (PARTITION BY location_id ORDER BY ingested_at DESC NULLS LAST, record_hash DESC) AS pos
-             FROM history WHERE data_granularity = 'daily') WHERE pos = 1)
+             FROM history) WHERE pos = 1)
            SELECT l.location_id, l.location_type, CASE WHEN d.location_id IS NULL THEN l.state_code
                     ELSE split_part(d.location_id, ':', 2) END AS state_code, l.county_code, l.site_number,
                   CASE WHEN d.location_id IS NULL THEN NULL ELSE '1' END AS poc,
@@ -270,8 +270,7 @@ def _key_granularity_mapping(spark, sf):
     ),
 )
 def _dim_location_upsert(spark, sf):
-    daily = fx.history(spark, sf).where("data_granularity = 'daily'")
-    observed = daily.withColumn(
+    observed = fx.history(spark, sf).withColumn(
         "raw_fields", F.create_map(F.lit("site_name"), "record_hash", F.lit("latitude"), F.col("value_numeric").cast("string"))
     )
     existing = fx.location(spark, sf)
@@ -289,7 +288,7 @@ def _dim_location_upsert(spark, sf):
            seen AS (SELECT * FROM (
              SELECT pollutant_code, unit, source_system,
                     row_number() OVER (PARTITION BY pollutant_code ORDER BY ingested_at DESC NULLS LAST, record_hash DESC) AS pos
-             FROM history WHERE data_granularity = 'daily') WHERE pos = 1)
+             FROM history) WHERE pos = 1)
            SELECT coalesce(c.code, s.pollutant_code) AS pollutant_code,
                   CASE WHEN c.code IS NULL THEN s.pollutant_code ELSE concat('configured ', c.code) END AS pollutant_name,
                   CASE WHEN c.code IS NULL THEN s.unit ELSE 'ppm' END AS default_unit,
@@ -309,8 +308,7 @@ def _dim_pollutant_upsert(spark, sf):
         F.concat(F.lit("configured "), "pollutant_code").alias("pollutant_name"),
         F.lit("ppm").alias("default_unit"),
     )
-    daily = fx.history(spark, sf).where("data_granularity = 'daily'")
-    return dimensions.upsert_pollutants(conform(fx.pollutant(spark, sf), POLLUTANT), daily, config)
+    return dimensions.upsert_pollutants(conform(fx.pollutant(spark, sf), POLLUTANT), fx.history(spark, sf), config)
 
 
 @register(

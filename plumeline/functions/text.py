@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\r\f\x0b"
 # Grammar of a decimal number in the feeds: no type suffix (``1.5d``), no
-# ``nan``/``inf`` words, both of which a plain cast to double would let through,
-# and no exponent beyond the range of a double.
-NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?0*[0-2]?[0-9]{1,2})?"
+# ``nan``/``inf`` words, both of which a plain cast to double would let through.
+NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
 def strip(value: Column) -> Column:
@@ -60,7 +59,8 @@ def zero_fill_code(value: Column, width: int) -> Column:
 
 def parse_number(value: Column) -> Column:
     """Text to double, NULL when it is not a finite decimal number (NRM-4)."""
-    return only(strip(value), NUMBER).try_cast("double")
+    number = only(strip(value), NUMBER).try_cast("double")
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def first_nonzero(*values: Column) -> Column:

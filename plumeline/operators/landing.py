@@ -81,6 +81,14 @@ def newest_manifests(manifest: DataFrame, dataset: str, limit: int) -> DataFrame
     return chosen.orderBy(F.col("extracted_at").desc_nulls_first(), F.col("object_key").asc_nulls_last()).limit(limit)
 
 
+def unstaged_manifests(manifest: DataFrame, staging: DataFrame, dataset: str) -> DataFrame:
+    """Landed objects of a dataset that no staged row comes from, or that were landed again
+    after the last staging of their rows (SRC-4)."""
+    seen = staging.groupBy("object_key").agg(F.max("ingested_at").alias("staged_at"))
+    joined = manifest.where(F.col("dataset") == dataset).join(seen, "object_key", "left")
+    return joined.where("staged_at is null or extracted_at > staged_at").select(*manifest.columns)
+
+
 def latest_file_hashes(landed: DataFrame) -> DataFrame:
     """Last landed content hash per file name (TOP-2)."""
     latest = first_per_key(

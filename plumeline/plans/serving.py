@@ -120,18 +120,16 @@ def latest(
     return page(mart.select(*LATEST_COLUMNS), order, limit, offset, 1000)
 
 
-def map_latest(
+def map_points(
     tables: Tables,
     *,
     pollutant_code: str | None = None,
     state_code: str | None = None,
     source_systems: Sequence[str] | None = None,
     data_granularities: Sequence[str] | None = None,
-    limit: int = 1000,
-    offset: int = 0,
 ) -> DataFrame:
     """Latest history row per station, pollutant, source and granularity, on
-    stations with coordinates (API-2, WIN-2, FLT-6).
+    stations with coordinates (API-2, WIN-2, FLT-6), all of them.
 
     Ranking keeps one row per group, also where several active thresholds
     match it; the first threshold type then decides ``is_exceedance``.
@@ -162,6 +160,11 @@ def map_latest(
     joined = marts.with_pollutant(marts.with_location(ranked, location, attributes), tables.pollutant)
     joined = joined.join(broadcast_if_small(limits, tables.threshold), ["pollutant_code", "unit"], "left")
     joined = joined.withColumn("is_exceedance", F.col("value_numeric") > F.col("threshold_value"))
+    return joined.select(*MAP_COLUMNS)
+
+
+def map_latest(tables: Tables, *, limit: int = 1000, offset: int = 0, **filters) -> DataFrame:
+    """One page of :func:`map_points`, newest first (API-2)."""
     order = [
         F.col("timestamp_start_utc").desc_nulls_first(),
         *[
@@ -169,7 +172,7 @@ def map_latest(
             for c in ("pollutant_code", "location_id", "source_system", "data_granularity")
         ],
     ]
-    return page(joined.select(*MAP_COLUMNS), order, limit, offset, 5000)
+    return page(map_points(tables, **filters), order, limit, offset, 5000)
 
 
 def timeseries(
@@ -272,7 +275,7 @@ def completeness_kpis(coverage_rows: DataFrame, low_ratio: float = 0.7) -> DataF
 
 
 def map_kpis(map_rows: DataFrame) -> DataFrame:
-    """Exceedance count and the sources shown (AGG-13)."""
+    """Exceedance count and the sources shown (AGG-13), over all :func:`map_points`."""
     return map_rows.agg(
         F.count_if(F.coalesce("is_exceedance", F.lit(False))).alias("exceedance_points"),
         F.array_join(F.sort_array(F.collect_set("source_system")), ", ").alias("sources_shown"),

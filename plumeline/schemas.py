@@ -33,48 +33,65 @@ REQUIRED_FIELDS = (
 )
 
 
-def _struct(spec: str) -> T.StructType:
+def _struct(ddl: str) -> T.StructType:
     types = {
-        "s": T.StringType(), "d": T.DoubleType(), "i": T.IntegerType(), "l": T.LongType(),
-        "b": T.BooleanType(), "t": T.TimestampType(), "D": T.DateType(),
-        "m": T.MapType(T.StringType(), T.StringType()),
+        "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(),
+        "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "date": T.DateType(),
+        "map<string,string>": T.MapType(T.StringType(), T.StringType()),
     }
-    fields = [item.split(":") for item in spec.split()]
+    fields = [column.split() for column in ddl.split(", ")]
     return T.StructType([T.StructField(name, types[kind]) for name, kind in fields])
 
 
+# Columns of the tables.
 _FACT = (
-    "natural_key:s location_id:s pollutant_code:s metric_type:s value_numeric:d unit:s "
-    "data_granularity:s timestamp_start_utc:t timestamp_end_utc:t timestamp_local:t "
-    "source_system:s source_dataset:s source_priority:i data_status:s method_code:s "
-    "method_name:s qualifier_raw:s source_last_modified_date:D record_hash:s"
-)
-FACT_COLUMNS = tuple(item.split(":")[0] for item in _FACT.split())
-HISTORY = _struct(_FACT + " ingested_at:t batch_id:l")
-CURRENT = _struct(_FACT + " updated_at:t")
+    "natural_key string, location_id string, pollutant_code string, metric_type string, value_numeric "
+    "double, unit string, data_granularity string, timestamp_start_utc timestamp, timestamp_end_utc "
+    "timestamp, timestamp_local timestamp, source_system string, source_dataset string, source_priority "
+    "int, data_status string, method_code string, method_name string, qualifier_raw string, "
+    "source_last_modified_date date, record_hash string"
+)
+FACT_COLUMNS = tuple(column.split()[0] for column in _FACT.split(", "))
+HISTORY = _struct(_FACT + ", ingested_at timestamp, batch_id bigint")
+CURRENT = _struct(_FACT + ", updated_at timestamp")
 
 # One normalised observation as staged, with its source row kept as a map.
 STAGED = _struct(
-    "object_key:s source_row_hash:s " + _FACT + " site_natural_location_id:s aqsid:s raw_fields:m ingested_at:t"
+    "object_key string, source_row_hash string, " + _FACT + ", "
+    "site_natural_location_id string, aqsid string, raw_fields map<string,string>, ingested_at timestamp"
 )
 
-POLLUTANT = _struct("pollutant_code:s pollutant_name:s default_unit:s metadata:s")
+POLLUTANT = _struct(
+    "pollutant_code string, pollutant_name string, default_unit string, metadata string"
+)
 LOCATION = _struct(
-    "location_id:s location_type:s country_code:s state_code:s county_code:s site_number:s poc:s aqsid:s "
-    "site_name:s city_name:s timezone_name:s timezone_offset_hours:d latitude:d longitude:d metadata:s"
+    "location_id string, location_type string, country_code string, state_code string, county_code "
+    "string, site_number string, poc string, aqsid string, site_name string, city_name string, "
+    "timezone_name string, timezone_offset_hours double, latitude double, longitude double, metadata "
+    "string"
 )
 THRESHOLD = _struct(
-    "pollutant_code:s threshold_type:s threshold_value:d unit:s is_active:b metadata:s updated_at:t"
+    "pollutant_code string, threshold_type string, threshold_value double, unit string, is_active "
+    "boolean, metadata string, updated_at timestamp"
 )
 MANIFEST = _struct(
-    "dataset:s object_key:s source_url:s content_sha256:s extracted_at:t metadata:m"
+    "dataset string, object_key string, source_url string, content_sha256 string, extracted_at timestamp, "
+    "metadata map<string,string>"
+)
+WATERMARK = _struct(
+    "source_name string, watermark_key string, watermark_value string, updated_at timestamp"
 )
-WATERMARK = _struct("source_name:s watermark_key:s watermark_value:s updated_at:t")
 RUN_EVENT = _struct(
-    "run_id:s dag_id:s task_id:s run_type:s event_ts:t started_at:t ended_at:t status:s message:s"
+    "run_id string, dag_id string, task_id string, run_type string, event_ts timestamp, started_at "
+    "timestamp, ended_at timestamp, status string, message string"
+)
+AUDIT = _struct(
+    "natural_key string, old_value double, new_value double, old_hash string, new_hash string, "
+    "observed_at timestamp, batch_id bigint"
+)
+ISSUE = _struct(
+    "issue_type string, natural_key string, issue_detail string, created_at timestamp"
 )
-AUDIT = _struct("natural_key:s old_value:d new_value:d old_hash:s new_hash:s observed_at:t batch_id:l")
-ISSUE = _struct("issue_type:s natural_key:s issue_detail:s created_at:t")
 
 # Raw feed rows after reading: text fields plus the whole row as a map.
 AUTHORITATIVE_FIELDS = (

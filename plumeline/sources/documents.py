@@ -20,7 +20,8 @@ _ZERO_IS_ABSENT = ("arithmetic_mean", "first_max_value")
 
 
 def read_json_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(object_key, doc) per file; unreadable JSON gives a NULL document."""
+    """(object_key, doc) per file; unreadable JSON gives a NULL document, which the row
+    readers below refuse."""
     reader = spark.read.option("multiLine", True).option("singleVariantColumn", "doc")
     return reader.json(paths).select(F.col("_metadata.file_path").alias("object_key"), "doc")
 
@@ -30,6 +31,10 @@ def _is_object(value: Column) -> Column:
 
 
 def _rows(documents: DataFrame, rows: Column) -> DataFrame:
+    """Objects among ``rows``.  A document that is no JSON stops the job and names its object:
+    skipping it would lose its observations unseen."""
+    unreadable = F.raise_error(F.concat(F.lit("unreadable JSON document: "), F.coalesce("object_key", F.lit("?"))))
+    rows = F.when(F.col("doc").isNull(), unreadable.cast("array<variant>")).otherwise(rows)
     exploded = documents.select("object_key", F.explode(rows).alias("row"))
     return exploded.where(_is_object(F.col("row")))
 

@@ -28,9 +28,9 @@ def test_first_non_blank(spark):
 
 def test_parse_number(spark):
     got = evaluate(
-        spark, fn.parse_number, "12.3", " -4 ", "1e2", ".5", "5.", "1.5d", "1e2f", "nan", "inf", "1e400", "n/a", "", None, "0"
+        spark, fn.parse_number, "12.3", " -4 ", "1e2", ".5", "5.", "1.5d", "1e2f", "nan", "inf", "1e400", "n/a", "", None, "0", "1e300", "1e-305", "-1e999"
     )
-    assert got == [12.3, -4.0, 100.0, 0.5, 5.0, None, None, None, None, None, None, None, None, 0.0]
+    assert got == [12.3, -4.0, 100.0, 0.5, 5.0, None, None, None, None, None, None, None, None, 0.0, 1e300, 1e-305, None]
 
 
 def test_first_nonzero(spark):
