@@ -10,7 +10,6 @@ exactly.  How many are visited is read off the sample: the fewest that find
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -153,9 +152,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _routed(model: bytes, queries: bool):
+def _routed(router: Router, queries: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        router: Router = pickle.loads(model)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -244,19 +242,19 @@ def nearest(
         return spark.createDataFrame([], schema)
     lengths = np.array([len(r["vector"]) for r in sample])
     width = int(np.bincount(lengths).argmax())
-    model = pickle.dumps(router := fit(np.array([r["vector"] for r in sample if len(r["vector"]) == width]), k))
+    router = fit(np.array([r["vector"] for r in sample if len(r["vector"]) == width]), k)
     rows = rows.where(F.size("vector") == width)
 
     alike = W.partitionBy("hash", "vector").orderBy("vec_id")
     chosen = rows.withColumn("nth", F.row_number().over(alike)).where(F.col("nth") <= k + 1).drop("nth")
     shape = "vec_id long, vector array<double>, hash long, part int"
-    index = scratch.save(chosen.select("vec_id", "vector", "hash").mapInArrow(_routed(model, False), shape))
+    index = scratch.save(chosen.select("vec_id", "vector", "hash").mapInArrow(_routed(router, False), shape))
     blocks = index.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))
     blocks = F.broadcast(blocks)  # at most SAMPLE_ROWS / ROWS_PER_PARTITION rows
     dealt = index.join(blocks, "part").select(
         "part", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("is_query"), "vec_id", "hash", "vector"
     )
-    asked = rows.where(is_query).select("vec_id", "vector", "hash").mapInArrow(_routed(model, True), shape)
+    asked = rows.where(is_query).select("vec_id", "vector", "hash").mapInArrow(_routed(router, True), shape)
     asked = asked.join(blocks, "part").select(
         "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("is_query"), "vec_id", "hash", "vector"
     )

@@ -10,7 +10,6 @@ holds at least ``CONFIRMED`` of the trigrams of one of its notices.
 
 from __future__ import annotations
 
-import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -205,9 +204,8 @@ def fit(docs: DataFrame) -> Classifier:
     return train(paragraphs[::step][:SAMPLE_PARAGRAPHS])
 
 
-def _scan(model: bytes, id_type: pa.DataType):
+def _scan(classifier: Classifier, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier: Classifier = pickle.loads(model)
         types = [id_type, pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.string()]
         names = ["doc_id", "paragraph", "family", "probability", "overlap", "confirmed", "text"]
         for batch in batches:
@@ -230,7 +228,6 @@ def scan(docs: DataFrame) -> DataFrame:
     ``docs`` needs ``doc_id, text``; other columns are ignored.  Null and empty texts give nothing, repeated rows
     their paragraphs each; no rows give no rows.  Every line of every text is scored; one pass, no shuffle.
     """
-    model = pickle.dumps(fit(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, paragraph int, family string, probability double, overlap double, confirmed boolean, text string"
-    return docs.select("doc_id", "text").mapInArrow(_scan(model, to_arrow_type(docs.schema["doc_id"].dataType)), shape)
+    return docs.select("doc_id", "text").mapInArrow(_scan(fit(docs), to_arrow_type(docs.schema["doc_id"].dataType)), shape)

@@ -18,7 +18,6 @@ returns a spanning forest of its links.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -62,16 +61,15 @@ def shingle_set(text: bytes | None, size: int, table: dict) -> np.ndarray:
     return np.unique(shingles)
 
 
-@cache
 def _seeds(count: int) -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(20_240_229)
     draw = lambda: random.integers(0, 1 << 63, size=count, dtype=np.uint64)
     return draw() * np.uint64(2) + np.uint64(1), draw()
 
 
-def half_keys(shingles: np.ndarray, halves: int, rows: int) -> np.ndarray:
+def half_keys(shingles: np.ndarray, halves: int, rows: int, seeds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """``2 * halves`` keys, left ones first."""
-    times, plus = _seeds(2 * halves * rows)
+    times, plus = seeds
     least = np.full(len(times), np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 512):
         values = shingles[at : at + 512, None] * times
@@ -89,14 +87,14 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 def _signatures(size: int, halves: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _WordHashes()
+        table, seeds = _WordHashes(), _seeds(2 * halves * rows)
         for batch in batches:
             out: list[tuple] = []
             for text in batch["text"].cast(pa.binary()):
                 shingles = shingle_set(text.as_py(), size, table)
                 h1 = xxhash.xxh3_64_intdigest(shingles.tobytes(), 1) if len(shingles) else 0
                 h2 = xxhash.xxh3_64_intdigest(shingles.tobytes(), 2) if len(shingles) else 0
-                keys = _signed(half_keys(shingles, halves, rows)) if len(shingles) else None
+                keys = _signed(half_keys(shingles, halves, rows, seeds)) if len(shingles) else None
                 out.append((len(shingles), h1, h2, keys))
             counts, h1, h2, keys = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
