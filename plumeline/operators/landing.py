@@ -75,6 +75,25 @@ def upsert_manifest(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     return upsert_latest(manifest, newest, keys)
 
 
+def current_manifest(log: DataFrame) -> DataFrame:
+    """The manifest behind the append-only landing log: the last landing of every object key (SNK-3)."""
+    return upsert_manifest(log.where(F.lit(False)), log)
+
+
+def landed_objects(dataset: str, responses: DataFrame, extracted_at: Column) -> DataFrame:
+    """Raw objects and their manifest rows from what a fetch returned (SNK-1).
+
+    ``responses`` holds ``body`` (text or bytes), ``source_url``, ``metadata`` and, for datasets with a key
+    layout of their own, ``object_key``.  Responses without a body land nothing; an empty body does.
+    """
+    sha256 = content_hash(F.col("body"))
+    key = F.col("object_key") if "object_key" in responses.columns else object_key(dataset, extracted_at, sha256)
+    return responses.where(F.col("body").isNotNull()).select(
+        F.lit(dataset).alias("dataset"), key.alias("object_key"), "source_url", sha256.alias("content_sha256"),
+        extracted_at.alias("extracted_at"), "metadata", F.make_valid_utf8(F.col("body").cast("string")).alias("body"),
+    )
+
+
 def newest_manifests(manifest: DataFrame, dataset: str, limit: int) -> DataFrame:
     """The ``limit`` most recently landed objects of a dataset (SRC-4, TOP-3)."""
     chosen = manifest.where(F.col("dataset") == dataset)

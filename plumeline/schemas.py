@@ -78,6 +78,8 @@ MANIFEST = _struct(
     "dataset string, object_key string, source_url string, content_sha256 string, extracted_at timestamp, "
     "metadata map<string,string>"
 )
+# A landed object with its text.
+OBJECT = _struct("dataset string, object_key string, body string")
 WATERMARK = _struct(
     "source_name string, watermark_key string, watermark_value string, updated_at timestamp"
 )
