@@ -596,6 +596,40 @@ def _manifest_upsert(spark, sf):
     return landing.upsert_manifest(first, rows.where(F.col("extracted_at") >= middle))
 
 
+@register(
+    "landed_manifest",
+    f"""SELECT 'aqs_daily_json' AS dataset, content_sha256,
+               concat('aqs/daily/year=', strftime(landed_at, '%Y'), '/month=', strftime(landed_at, '%m'), '/day=', strftime(landed_at, '%d'),
+                      '/', strftime(landed_at, '%Y%m%dT%H%M%SZ'), '_', substring(content_sha256, 1, 12), '.json') AS object_key
+        FROM (SELECT DISTINCT sha256(text) AS content_sha256, date_trunc('day', {_DOC_AT}) AS landed_at FROM documents WHERE text IS NOT NULL)""",
+)
+def _landed_manifest(spark, sf):
+    # one landing a day: equal texts of a day are one object
+    at = F.date_trunc("day", F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(secs=(F.col("doc_id") * 61).cast("decimal(18,6)")))
+    responses = fx.table(spark, sf, "documents").select(
+        "doc_id", F.col("text").alias("body"), F.lit("http://example.org").alias("source_url"),
+        F.create_map(F.lit("lang"), F.col("lang")).alias("metadata"),
+    )
+    landed = landing.landed_objects("aqs_daily_json", responses, at)
+    return landing.current_manifest(landed.drop("body")).select("dataset", "object_key", "content_sha256")
+
+
+@register(
+    "gap_issues",
+    """SELECT CASE event_type WHEN 'error' THEN 'airnow_gap_request_failed' ELSE 'airnow_gap_empty_response' END AS issue_type,
+              concat('{', CASE event_type WHEN 'error' THEN '"error":"timeout",' ELSE '' END, '"params":"user=', CAST(user_id AS VARCHAR), '"}')
+                AS issue_detail
+       FROM events WHERE event_type = 'error' OR event_id % 3 = 0""",
+)
+def _gap_issues(spark, sf):
+    failed = F.col("event_type") == "error"
+    responses = fx.table(spark, sf, "events").select(
+        F.concat(F.lit("user="), F.col("user_id").cast("string")).alias("params"), F.when(failed, "timeout").alias("error"),
+        F.when(~failed, F.col("event_id") % 3).alias("row_count"),
+    )
+    return ledger.gap_response_issues(responses).select("issue_type", "issue_detail")
+
+
 @register(
     "newest_manifests",
     f"""WITH {_MANIFEST_SQL} SELECT * FROM manifest WHERE dataset = (SELECT max(dataset) FROM manifest)

@@ -11,6 +11,7 @@ from plumeline.catalog import fixtures as fx
 from plumeline.catalog.fixtures import with_views
 from plumeline.functions import zero_fill
 from plumeline.operators import dimensions, merge, watermarks
+from plumeline.plans.load import merge_batch
 from plumeline.schemas import LOCATION, POLLUTANT, conform
 from plumeline.sources.staging import staged_rows, union_feeds
 
@@ -217,6 +218,33 @@ def _revision_audit(spark, sf):
     return merge.revision_audit(_loaded_current(spark, sf), incoming)
 
 
+@register(
+    "load_batch",
+    with_views(
+        "existing incoming",
+        f""", {_CUR0}
+        SELECT 'current' AS target, natural_key, record_hash, value_numeric FROM cur1
+        UNION ALL
+        SELECT 'history', natural_key, record_hash, value_numeric FROM incoming
+        WHERE concat(natural_key, '/', record_hash, '/', source_system) NOT IN (
+          SELECT concat(natural_key, '/', record_hash, '/', source_system) FROM existing)
+        UNION ALL
+        SELECT 'audit', new_key, i.record_hash, i.value_numeric FROM (
+          SELECT natural_key AS new_key, record_hash AS old_hash, source_priority AS rank FROM cur0 WHERE source_system = 'AIRNOW')
+        JOIN incoming i ON i.natural_key = new_key
+        WHERE i.source_system = 'AIRNOW' AND i.source_priority = rank AND i.record_hash <> old_hash""",
+    ),
+)
+def _load_batch(spark, sf):
+    # all that one load does to its three tables
+    existing, incoming = fx.split_batches(spark, sf)
+    batch = merge_batch(_loaded_current(spark, sf), existing, incoming, AS_OF)
+    row = ["natural_key", "record_hash", "value_numeric"]
+    revised = batch.audit.select("natural_key", F.col("new_hash").alias("record_hash"), F.col("new_value").alias("value_numeric"))
+    tables = {"current": batch.current.select(*row), "history": batch.new_history.select(*row), "audit": revised}
+    return union_feeds(*[df.select(F.lit(name).alias("target"), *row) for name, df in tables.items()])
+
+
 @register(
     "insert_ignore",
     with_views(

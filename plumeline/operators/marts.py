@@ -200,11 +200,22 @@ def exceedance_events(
 
 
 def region_day_average(current: DataFrame, location: DataFrame) -> DataFrame:
-    """Average and row count by region, pollutant and day (AGG-7); NULL regions form a group."""
+    """Average and row count by region, pollutant and day (AGG-7); NULL regions form a group.
+
+    The fact is reduced to sums per station and day before the location joins.
+    """
+    station_days = (
+        daily_only(current)
+        .groupBy("location_id", "pollutant_code", day_of(F.col("timestamp_start_utc")).alias("day_utc"))
+        .agg(F.sum("value_numeric").alias("total"), F.count("value_numeric").alias("measured"), F.count(F.lit(1)).alias("n"))
+    )
     return (
-        with_location(daily_only(current), location)
-        .groupBy(*REGION, "pollutant_code", day_of(F.col("timestamp_start_utc")).alias("day_utc"))
-        .agg(F.avg("value_numeric").alias("day_avg_value"), F.count(F.lit(1)).alias("observation_count"))
+        with_location(station_days, location)
+        .groupBy(*REGION, "pollutant_code", "day_utc")
+        .agg(
+            F.try_divide(F.sum("total"), F.sum("measured")).alias("day_avg_value"),
+            F.sum("n").alias("observation_count"),
+        )
     )
 
 

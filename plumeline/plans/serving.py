@@ -280,3 +280,10 @@ def map_kpis(map_rows: DataFrame) -> DataFrame:
         F.count_if(F.coalesce("is_exceedance", F.lit(False))).alias("exceedance_points"),
         F.array_join(F.sort_array(F.collect_set("source_system")), ", ").alias("sources_shown"),
     )
+
+
+def envelope(items: DataFrame, limit: int, offset: int = 0) -> DataFrame:
+    """A page as one row ``items, limit, offset, count`` (API-5).  ``items`` is a result of the queries
+    above, which are capped; ``count`` is the number of its rows."""
+    packed = items.agg(F.collect_list(F.struct(*items.columns)).alias("items"))
+    return packed.select("items", F.lit(limit).alias("limit"), F.lit(offset).alias("offset"), F.size("items").alias("count"))

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from plumeline import catalog
+from plumeline.plans import serving
 from tests.oracle import connect, mismatch
 
 SF = "/root/testdata/sf0.001"
@@ -71,3 +72,21 @@ def test_coverage_reads_the_fact_once(spark):
 
 def test_page_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["api_latest"](spark, SF))
+
+
+def test_a_page_has_an_envelope(spark):
+    items = QUERIES["api_latest"](spark, SF)
+    row = serving.envelope(items, 100, 0).first()
+    assert (row["limit"], row["offset"], row["count"]) == (100, 0, items.count())
+    assert [r.natural_key for r in row["items"]] == [r.natural_key for r in items.collect()]
+    assert serving.envelope(items.limit(0), 100, 5).first()["count"] == 0
+
+
+@pytest.mark.parametrize("name", ["region_day_average", "anomaly_spikes"])
+def test_regions_join_after_the_first_grouping(spark, name):
+    # read from the scan upwards: the fact is grouped before it meets the locations
+    logical = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    fact = next(i for i, line in enumerate(logical) if "l_quantity" in line and "Relation" in line)
+    joins = [i for i, line in enumerate(logical[:fact]) if "Join Inner, (location_id" in line]
+    groups = [i for i, line in enumerate(logical[:fact]) if "Aggregate [location_id" in line]
+    assert groups and max(groups) > min(joins)
