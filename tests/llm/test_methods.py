@@ -345,3 +345,23 @@ def test_pipeline_against_brute_force(spark, texts):
     wanted = sum(len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1 for r in docs.collect())
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).agg(F.sum("length")).first()[0] == wanted
     assert corpus_pipeline.run(spark, SF).agg(F.sum("length")).first()[0] == wanted
+
+
+def test_longest_of_many_rules_on_one_host(spark):
+    made = random.Random(3)
+    paths = sorted({"/" + "".join(made.choice("ab/") for _ in range(made.randint(0, 6))) for _ in range(150)})
+    rules = [(host, p, made.choice(["allow", "block"])) for host in ("x.org", "org", "a.x.org") for p in paths if made.random() < 0.6]
+    rules += [("tie.org", "/", "block"), ("tie.org", "/", "allow"), ("none.org", None, "block"), (None, "/", "block")]
+    urls = [(made.choice(["x.org", "a.x.org", "b.a.x.org", "y.org", "org", ""]), "/" + "".join(made.choice("ab/") for _ in range(8))) for _ in range(400)]
+    urls += [("tie.org", "/q"), ("none.org", "/"), ("x.org", "")] + [("x.org", "/ab")] * 5
+
+    def expected(host, path):
+        labels = host.split(".")
+        domains = {".".join(labels[i:]) for i in range(len(labels))} if host else set()
+        fitting = [(len(h + p), v == "allow", h + p, v) for h, p, v in rules if h in domains and p is not None and path.startswith(p)]
+        return max(fitting)[2:] if fitting else (None, None)
+
+    table = spark.createDataFrame([(i, *u) for i, u in enumerate(urls)], "id int, host string, path string")
+    found = url_rules.apply_rules(table, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    assert {r.id: (r.rule, r.rule_verdict) for r in found} == {i: expected(*u) for i, u in enumerate(urls)}
+    assert len(found) == len(urls)
