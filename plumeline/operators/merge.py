@@ -7,6 +7,7 @@ row per key before shuffling; joins are on full keys, so the rows of one hot
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
@@ -162,7 +163,7 @@ def map_key_granularity(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     key = reduce(
         lambda acc, item: acc.when(
             F.col("data_granularity") == item[0],
-            F.regexp_replace("natural_key", rf"^((?:[^|]*\|){{3}}){item[0]}\|", f"$1{item[1]}|"),
+            F.regexp_replace("natural_key", rf"^((?:[^|]*\|){{3}}){re.escape(item[0])}\|", f"$1{item[1]}|"),
         ),
         mapping.items(),
         F.when(F.lit(False), F.col("natural_key")),
