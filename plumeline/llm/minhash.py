@@ -30,6 +30,8 @@ from plumeline.llm.common import Scratch, components
 MAX_CACHED_WORDS = 300_000
 # A block of a cluster holds about so many shingles; a task compares two blocks.
 BLOCK_SHINGLES = 100_000
+#: and at most about so many documents, as the comparison holds a count for every pair of them.
+BLOCK_DOCUMENTS = 1_500
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
 
@@ -203,6 +205,15 @@ def _compare(percent: int):
     return run
 
 
+def block_counts(members: DataFrame) -> DataFrame:
+    """``component, blocks`` of ``members (component, n_shingles)``: blocks bounded by shingles and by documents."""
+    return members.groupBy("component").agg(
+        F.greatest(
+            F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_DOCUMENTS))
+        ).cast("long").alias("blocks")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, halves: int = 12, rows: int = 3
 ) -> DataFrame:
@@ -244,9 +255,7 @@ def near_duplicates(
 
     # Members with their cluster's number of blocks, then their sets from the texts.
     members = nodes.select("node", F.col("least.text_hash").alias("text_hash"), "n_shingles", "h1").join(clusters, "node")
-    blocks = members.groupBy("component").agg(
-        F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)).cast("long").alias("blocks")
-    )
+    blocks = block_counts(members)
     members = members.join(blocks, "component").select(
         F.col("node").alias("doc_id"), "text_hash", F.col("component").alias("cluster"), "node", "blocks", "h1"
     )
