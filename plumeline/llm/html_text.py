@@ -41,6 +41,8 @@ IMPLIED = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
 }
+#: What an open head may hold; any other start tag, or text, ends it.
+IN_HEAD = frozenset("html head title meta link base basefont bgsound script style template noscript noframes".split())
 #: Elements nested deeper become siblings; their text is kept.
 MAX_DEPTH = 200
 
@@ -90,6 +92,8 @@ def parse(page: str) -> Node:
             elif len(stack) < MAX_DEPTH:
                 stack.append(node)
         elif not match[0].startswith(("<!", "<?")):
+            if stack[-1].tag == "head" and match[0].strip(" \t\n\r\f"):
+                stack.pop()
             stack[-1].children.append(html.unescape(match[0]))
     return root
 
@@ -107,6 +111,8 @@ def _start(stack: list[Node], node: Node) -> None:
                 opened.fields.update({k: v for k, v in node.fields.items() if k not in opened.fields})
                 node.children = opened.children  # the tags merge
                 return
+    if stack[-1].tag == "head" and tag not in IN_HEAD:
+        stack.pop()
     if tag == "body" and any(opened.tag == "head" for opened in stack):
         _close(stack, {"head"}, set())
     stack[-1].children.append(node)
