@@ -6,6 +6,9 @@ It is fitted on variations of the notices below and on a bounded sample of the
 corpus.  Held-out variations calibrate its confidence by one temperature; a family whose
 calibrated probability is under ``SURE`` becomes ``unknown``.  A family is confirmed when the paragraph
 holds at least ``CONFIRMED`` of the trigrams of one of its notices.
+
+Every line is judged.  Adjacent lines with words (comment marks are none) are a block, and a notice whose
+trigrams follow each other over lines of a block is a paragraph of these lines, judged as one in place of them.
 """
 
 from __future__ import annotations
@@ -85,6 +88,8 @@ SAMPLE_PARAGRAPHS = 3000
 VARIATIONS = 60
 SURE = 0.6
 CONFIRMED = 0.5
+#: Words that may be missing or added between two trigrams of a wrapped notice.
+GAP = 12
 
 
 def grams(paragraph: str) -> set[tuple[str, ...]]:
@@ -133,6 +138,99 @@ class Classifier:
         return family, float(p[best]), overlap, overlap >= CONFIRMED
 
 
+def _places() -> tuple[dict[tuple[str, ...], list[tuple[int, int]]], list[int]]:
+    """Notices and places in them of every trigram, and the trigrams each notice has."""
+    places: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+    sizes = []
+    for notice in [n for notices in [*NOTICES.values(), UNKNOWN] for n in notices]:
+        found = WORD.findall(notice.lower())
+        grams3 = list(dict.fromkeys(zip(found, found[1:], found[2:])))
+        for at, gram in enumerate(grams3):
+            places.setdefault(gram, []).append((len(sizes), at))
+        sizes.append(len(grams3))
+    return places, sizes
+
+
+PLACES, SIZES = _places()
+
+
+def wrapped(lines: list[str]) -> list[tuple[int, int]]:
+    """``[first, last)`` of the adjacent lines that hold a notice over several lines."""
+    found: set[tuple[int, int]] = set()
+    words: list[str] = []
+    owner: list[int] = []
+
+    def block() -> None:
+        if not owner or owner[0] == owner[-1]:
+            return
+        # Per notice the first and last word, the last place and the trigrams of the run under way.
+        open_runs: dict[int, list[int]] = {}
+
+        def close(notice: int) -> None:
+            first, last, _, count = open_runs.pop(notice)
+            if owner[first] != owner[last] and count >= CONFIRMED * SIZES[notice]:
+                found.add((owner[first], owner[last] + 1))
+
+        for i, gram in enumerate(zip(words, words[1:], words[2:])):
+            for notice, at in PLACES.get(gram, ()):
+                run = open_runs.get(notice)
+                if run and (at <= run[2] or i > run[1] + GAP):
+                    close(notice)
+                    run = None
+                if run:
+                    run[1], run[2], run[3] = i + 2, at, run[3] + 1
+                else:
+                    open_runs[notice] = [i, i + 2, at, 1]
+        for notice in list(open_runs):
+            close(notice)
+
+    for k, line in enumerate(lines):
+        own = WORD.findall(line.lower())
+        if not own:
+            block()
+            words, owner = [], []
+        words += own
+        owner += [k] * len(own)
+    block()
+    return sorted(found)
+
+
+def paragraphs(classifier: Classifier, text: str) -> list[tuple]:
+    """``first line, family, probability, overlap, confirmed, text`` of a text's notices, in order."""
+    lines = text.split("\n")
+    ranges: dict[str, list[list[int]]] = {}
+    for first, last in wrapped(lines):
+        found = classifier.judge("\n".join(lines[first:last]))
+        if found:
+            own = ranges.setdefault(found[0], [])
+            if own and first < own[-1][1]:  # notices of one family that share a line
+                own[-1][1] = max(own[-1][1], last)
+            else:
+                own.append([first, last])
+    rows, inside = [], {}
+    for family, own in ranges.items():
+        for first, last in own:
+            body = "\n".join(lines[first:last])
+            found = classifier.judge(body)
+            if found and found[0] == family:
+                rows.append((first, *found, body))
+                for k in range(first, last):
+                    inside.setdefault(k, set()).add(family)
+    for k, line in enumerate(lines):
+        found = classifier.judge(line)
+        if found and (k not in inside or _apart(line, found[0], inside[k])):
+            rows.append((k, *found, line))
+    return sorted(rows, key=lambda r: r[:2])
+
+
+def _apart(line: str, family: str, others: set[str]) -> bool:
+    """Whether a line of paragraphs of ``others`` confirms another family by trigrams that they have not."""
+    if family in others or family == "unknown":
+        return False
+    own = _trigrams(line).difference(*(_trigrams(n) for f in others for n in NOTICES.get(f, UNKNOWN)))
+    return any(len(own & t) >= CONFIRMED * len(t) for t in map(_trigrams, NOTICES[family]))
+
+
 def _variations(notice: str, filler: list[str], count: int, random: np.random.Generator) -> list[str]:
     """The notice with up to a sixth of its words lost and other words around it."""
     words, out = notice.split(), [notice]
@@ -211,10 +309,7 @@ def _scan(classifier: Classifier, id_type: pa.DataType):
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                for k, line in enumerate((text.as_py() or "").split("\n")):
-                    found = classifier.judge(line)
-                    if found:
-                        rows.append((doc_id, k, *found, line))
+                rows += [(doc_id, *found) for found in paragraphs(classifier, text.as_py() or "")]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -222,8 +317,8 @@ def _scan(classifier: Classifier, id_type: pa.DataType):
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """A row for every paragraph (line) that speaks of a licence: ``doc_id, paragraph,
-    family, probability, overlap, confirmed, text``.
+    """A row for every paragraph (a line, or the lines of a wrapped notice) that speaks of a licence: ``doc_id,
+    paragraph, family, probability, overlap, confirmed, text``, ``paragraph`` being its first line.
 
     ``docs`` needs ``doc_id, text``; other columns are ignored.  Null and empty texts give nothing, repeated rows
     their paragraphs each; no rows give no rows.  Every line of every text is scored; one pass, no shuffle.
