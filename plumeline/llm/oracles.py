@@ -168,9 +168,67 @@ URLS = r"""
     LEFT JOIN aliases a ON a.u = regexp_replace(g.url, '#.*', '')
     """
 
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEXICAL = rf"""
+    WITH held AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS t FROM documents),
+    items AS (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS t FROM benchmark),
+    totals AS (SELECT (count(*) FILTER (len(t) > 0))::BIGINT AS n_all, sum(len(t))::BIGINT AS l_all FROM held),
+    asked AS (SELECT item, item_id, term, count(*) AS c FROM (SELECT item, item_id, unnest(t) AS term FROM items) GROUP BY ALL),
+    postings AS (
+        SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM held)
+        WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(n_all) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+        FROM postings, totals GROUP BY term),
+    scored AS (
+        SELECT item, any_value(item_id) AS item_id, row, any_value(doc_id) AS doc_id,
+               sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_all) // l_all))))::BIGINT AS score
+        FROM postings JOIN weights USING (term) JOIN asked USING (term), totals GROUP BY item, row)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    WHERE rank <= 20
+    """
+
+# CRC-32 by bytes, from a table of the polynomial's remainders.
+IMPORTANCE = rf"""
+    WITH remainders AS (
+        SELECT list_transform(range(256), lambda n: list_reduce(
+            list_prepend(n, range(8)), lambda c, k: if(c % 2 = 1, xor(c >> 1, 3988292384), c >> 1))) AS r),
+    held AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS t FROM documents),
+    words AS (SELECT row, unnest(t) AS word FROM held),
+    asked AS (SELECT unnest({_TERMS}) AS word FROM benchmark),
+    spelled AS (
+        SELECT word, list_transform(range(strlen(word)), lambda i: ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT) AS b
+        FROM (SELECT word FROM words UNION SELECT word FROM asked)),
+    buckets AS (
+        SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, r[xor(c, x) % 256 + 1])), 4294967295)
+                     % 10000 AS bucket
+        FROM spelled, remainders),
+    corpus AS (SELECT bucket, count(*) AS s FROM words JOIN buckets USING (word) GROUP BY bucket),
+    target AS (SELECT bucket, count(*) AS t FROM asked JOIN buckets USING (word) GROUP BY bucket),
+    totals AS (SELECT (SELECT count(*) FROM words) AS s_all, (SELECT count(*) FROM asked) AS t_all),
+    gains AS (
+        SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+        FROM corpus LEFT JOIN target USING (bucket), totals),
+    weights AS (SELECT row, sum(gain)::BIGINT AS weight FROM words JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY row),
+    scored AS (
+        SELECT row, doc_id, len(t)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+               + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+        FROM held LEFT JOIN weights USING (row)),
+    placed AS (
+        SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * able // 100 THEN place END AS rank
+    FROM scored LEFT JOIN placed USING (row)
+    """
+
 ORACLES = {
     "op1_quality_rules": quality_rules(),
     "op6_mixing": MIXING,
     "op9_minhash": MINHASH,
     "op10_url_rules": URLS,
+    "op11_lexical_search": LEXICAL,
+    "op12_importance": IMPORTANCE,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumeline.llm import ann, html_text, licences, line_dedup, minhash, mixing, packing, quality, sharding, url_rules
+from plumeline.llm import (
+    ann,
+    html_text,
+    importance,
+    lexical,
+    licences,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    pieces,
+    quality,
+    sharding,
+    url_rules,
+)
 from plumeline.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -78,6 +92,24 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that rank highest for every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and draw of every document towards the benchmark's texts."""
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    model_file = public_tokenizers.path("piece_bpe_32k.model")
+    ids = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model_file)
+    return pieces.digests(pieces.decode(ids, model_file))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -89,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_minhash": op9_minhash,
     "op10_url_rules": op10_url_rules,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_importance": op12_importance,
+    "op13_sentencepiece": op13_sentencepiece,
 }
