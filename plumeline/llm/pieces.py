@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 # A task merges the distinct words of about so many bytes of text at a time.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
+# and decodes about so many ids at a time.
+BATCH_IDS = 200_000
 NO_RANK = np.iinfo(np.int32).max
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -322,16 +324,15 @@ def model(model_file: str) -> PieceModel:
     return held[model_file]
 
 
-def _batches(texts: list[bytes | None], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that hold about ``most`` bytes each."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or b"")
-        if size >= most:
-            yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+def _slices(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose rows' ``sizes`` sum up to about ``most``, or one larger row; null counts as 0."""
+    upto = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(upto):
+        before = upto[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(upto, before + most, "right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
 
 
 def encode(docs: DataFrame, model_file: str, column: str = "text", ids: str = "ids") -> DataFrame:
@@ -348,12 +349,11 @@ def encode(docs: DataFrame, model_file: str, column: str = "text", ids: str = "i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(model_file)
         for batch in batches:
-            texts = batch[column].cast(pa.binary()).to_pylist()
-            for begin, end in _batches(texts):
-                flat, counts = pieces.encode([(t or b"").decode("utf-8", "replace") for t in texts[begin:end]])
+            for part in _slices(batch, pc.binary_length(batch[column]), BATCH_BYTES):
+                texts = [(t.as_py() or b"").decode("utf-8", "replace") for t in part[column].cast(pa.binary())]
+                flat, counts = pieces.encode(texts)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
-                part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([*(part[f.name] for f in others), lists], names=schema.names)
 
     return docs.select(*[F.col(f"`{f.name}`") for f in others], F.col(f"`{column}`")).mapInArrow(run, schema)
@@ -368,9 +368,8 @@ def decode(encoded: DataFrame, model_file: str, column: str = "ids", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(model_file)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
-                texts = [pieces.decode(ids or []) for ids in part[column].to_pylist()]
+            for part in _slices(batch, pc.list_value_length(batch[column]), BATCH_IDS):
+                texts = [pieces.decode(ids.as_py() or []) for ids in part[column]]
                 yield pa.RecordBatch.from_arrays([*(part[f.name] for f in others), pa.array(texts, pa.string())], names=schema.names)
 
     return encoded.select(*[F.col(f"`{f.name}`") for f in others]).mapInArrow(run, schema)
