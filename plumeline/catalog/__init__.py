@@ -7,7 +7,7 @@ from importlib import import_module
 
 from plumeline.session import prepare
 
-MODULES = ("mart_queries", "merge_queries", "feed_queries")
+MODULES = ("mart_queries", "merge_queries", "feed_queries", "store_queries")
 
 
 def _merged(attribute: str) -> dict:

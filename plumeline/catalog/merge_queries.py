@@ -66,6 +66,12 @@ cur1 AS (
          CASE WHEN takes THEN TIMESTAMP '2003-01-01 00:00:00' ELSE TIMESTAMP '2002-01-01 00:00:00' END AS updated_at
   FROM merged)
 """
+# The same with current as a load left it that took the existing rows as one batch.
+CURRENT_AFTER_BATCHES = _CUR0.replace(
+    "ingested_at DESC NULLS FIRST, record_hash DESC) AS pos FROM existing",
+    "timestamp_start_utc DESC NULLS LAST, source_last_modified_date DESC NULLS LAST,\n"
+    "             record_hash DESC) AS pos FROM existing",
+)
 _KEPT = ("natural_key", "record_hash", "source_system", "value_numeric", "source_priority")
 _KEPT_SQL = ", ".join(_KEPT)
 

@@ -63,10 +63,14 @@ def hot_sync(
     listing = got.select(
         "file_name", "http_status", F.octet_length("body").alias("content_length"), landing.content_hash(F.col("body")).alias("content_sha256")
     )
-    manifest = landing.current_manifest(store.read("manifest").where(F.col("dataset") == "airnow_hourly_file"))
-    landed = manifest.select(F.col("metadata")["file_name"].alias("file_name"), "content_sha256", "extracted_at")
+    expected = landing.expected_hours(store.spark, as_of, hours)
+    # Of the whole log only the landings of the expected files, one row an hour, are ranked.
+    names = expected.select(landing.hourly_file_name(F.col("hour_start_utc")).alias("name"))
+    log = store.read("manifest").where(F.col("dataset") == "airnow_hourly_file")
+    log = log.join(F.broadcast(names), F.col("metadata")["file_name"] == F.col("name"), "left_semi")
+    landed = landing.current_manifest(log).select(F.col("metadata")["file_name"].alias("file_name"), "content_sha256", "extracted_at")
     # Written before anything lands: a repeated job must not see its own files as unchanged.
-    status = store.once(run, "status", landing.hot_window_status(landing.expected_hours(store.spark, as_of, hours), listing, landed))
+    status = store.once(run, "status", landing.hot_window_status(expected, listing, landed))
     issues = landing.hour_issues(status, base_url)
     if status.where("status <> 'failed'").isEmpty():
         _fail(store, batch_id, HOT_SYNC, as_of, issues, "hourly extraction failed for all files")

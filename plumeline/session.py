@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,17 @@ def shared_dir(spark: SparkSession, fallback: str) -> str:
     return (named or fallback).rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names; on one machine, where none is set, a new temporary one, which is then set."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="plumeline-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
 def broadcast_if_small(df: DataFrame, bounded_by: DataFrame | None = None) -> DataFrame:
     """Hint ``df`` for broadcast only when a size check passes.
 
