@@ -12,7 +12,7 @@ are tried apart.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from array import array
 from collections import deque
@@ -20,10 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer
+
+from plumeline.llm.merging import MergeTable, held, ranges, slices
 
 WINDOW = 4096
 END_ID = 2
@@ -32,65 +35,124 @@ TOKEN_PENALTY = 24
 # A partition is solved in stretches of this many windows; the last quarter of a
 # stretch is solved again with what follows.
 HORIZON = 128
-MAX_CACHED_WORDS = 350_000
+MAX_CACHED_WORDS = 200_000
 MAX_CACHED_BYTES = 64
-LETTERS_THEN_MARKS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+LETTERS_THEN_MARKS = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-/:-@\[-`{-~]*)$"
+# A task encodes the words of about so many bytes of text at a time.
+BATCH_BYTES = 4 << 20
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 )
 
 
-class WordTokens(dict):
-    """Little-endian ids of white-space separated words.
+class WordTokens:
+    """Ids of white-space separated words.
 
     The tokenizer lower-cases, drops white space and never joins over it, nor over the end of a
     run of letters, so a text's ids are those of its words in turn, and those of a
-    word in Western letters with ASCII punctuation behind it are those of both parts;
-    known words are looked up instead of encoded.  When ``MAX_CACHED_WORDS`` are held,
-    they become the older half, whose words move up when met again and otherwise
-    go with the next change.
+    word of Western letters with ASCII marks behind it are those of both parts.  Letters are merged here, each distinct
+    run of a batch once, in rounds; what else there is goes through the tokenizer and is remembered.
     """
 
     def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.to_units = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.older: dict[bytes, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.older.get(word)
-        if found is None:
-            found = self._encode(word.decode("utf-8", "replace"))
-        if len(word) <= MAX_CACHED_BYTES:
-            if len(self) >= MAX_CACHED_WORDS:
-                self.older = dict(self)
-                self.clear()
-            self[word] = found
-        return found
-
-    def _encode(self, word: str) -> bytes:
-        plain = LETTERS_THEN_MARKS.fullmatch(word)
-        if not plain:
-            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        stem, marks = plain.groups()
-        if marks or not stem.islower():
-            return self[stem.lower().encode()] + (self[marks.encode()] if marks else b"")
-        units = stem if stem.isascii() else self.to_units(stem)[0][0]
-        return array("I", [t.id for t in self.model.tokenize(units)]).tobytes()
+        self.tokenizer, self.others = tokenizer, {b"": b""}
+        model = json.loads(tokenizer.to_str())["model"]
+        vocab, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [(vocab[a], vocab[b], vocab[a + b], rank) for rank, (a, b) in enumerate(merges)]
+        if len({m[2] for m in made}) < len(made):
+            raise ValueError("the tokenizer has tokens of several merges")
+        self.merges = MergeTable(*np.array(made, dtype=np.int64).T.astype(np.int32), end=len(vocab))
+        # Byte-level tokenizers write bytes that do not print as the characters from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        names = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+        ends = model["end_of_word_suffix"] or ""
+        self.inner = np.array([vocab[names[b]] for b in range(256)], dtype=np.int32)
+        self.last = np.array([vocab[names[b] + ends] for b in range(256)], dtype=np.int32)
+
+    def letters(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs of small letters, one after the other, and how many each has."""
+        lengths = pc.binary_length(runs).to_numpy(zero_copy_only=False).astype(np.int64)
+        raw = np.frombuffer(b"".join(runs.cast(pa.binary()).to_pylist()), dtype=np.uint8)
+        symbols = self.inner[raw]
+        last = np.cumsum(lengths)[lengths > 0] - 1
+        symbols[last] = self.last[raw[last]]
+        symbols, word, _ = self.merges.rounds(symbols, lengths)
+        return symbols, np.bincount(word, minlength=len(runs))
+
+    def rest(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any other parts of words, and how many each has."""
+        named = parts.cast(pa.binary()).to_pylist()
+        missing = [p for p in named if p not in self.others]
+        if missing:
+            if len(self.others) + len(missing) > MAX_CACHED_WORDS:
+                self.others = {b"": b""}
+            found = self.tokenizer.encode_batch([p.decode() for p in missing], add_special_tokens=False)
+            fresh = {p: array("i", e.ids).tobytes() for p, e in zip(missing, found)}
+            self.others.update((p, ids) for p, ids in fresh.items() if len(p) <= MAX_CACHED_BYTES)
+        else:
+            fresh = {}
+        ids = [fresh[p] if p in fresh else self.others[p] if p in self.others else self._alone(p) for p in named]
+        return np.frombuffer(b"".join(ids), dtype="<i4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+    def _alone(self, part: bytes) -> bytes:
+        return array("i", self.tokenizer.encode(part.decode(), add_special_tokens=False).ids).tobytes()
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and how many each has."""
+        split = pc.extract_regex(words, LETTERS_THEN_MARKS)
+        plain = pc.is_valid(split)
+        nothing = pa.scalar("", words.type)
+        stems = pc.utf8_lower(pc.if_else(plain, pc.struct_field(split, "letters"), nothing)).dictionary_encode()
+        tails = pc.if_else(plain, pc.struct_field(split, "marks"), words).dictionary_encode()
+        tables = []
+        for part, ids_of in ((stems, self.letters), (tails, self.rest)):
+            ids, sizes = ids_of(part.dictionary)
+            which = part.indices.to_numpy()
+            tables.append((ids, (np.cumsum(sizes) - sizes)[which], sizes[which]))
+        # Of every word first the letters' ids, then the others'.
+        starts = np.stack([tables[0][1], tables[1][1] + len(tables[0][0])], axis=1).ravel()
+        sizes = np.stack([tables[0][2], tables[1][2]], axis=1)
+        return np.concatenate([tables[0][0], tables[1][0]])[ranges(starts, sizes.ravel())], sizes.sum(axis=1)
+
+
+def encode_batch(texts: list[bytes], table: WordTokens, end_id: int = END_ID) -> Iterator[tuple[bytes, np.ndarray]]:
+    """For every document its little-endian ids with the end id, and the token positions behind its sentences
+    and lines (the last one is the document's end)."""
+    words: list[bytes] = []
+    upto: list[list[int]] = []  # words up to the end of every sentence
+    for text in texts:
+        for mark in (b".", b"!", b"?"):
+            text = text.replace(mark + b" ", mark + b"\n")
+        ends = []
+        for sentence in text.split(b"\n"):
+            words += sentence.split()
+            ends.append(len(words))
+        upto.append(ends)
+    try:
+        named = pa.array(words, pa.large_binary()).cast(pa.large_string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        named = pa.array([w.decode("utf-8", "replace") for w in words], pa.large_string())
+    coded = named.dictionary_encode()
+    ids, sizes = table.words(coded.dictionary)
+    which = coded.indices.to_numpy()
+    sizes_here = sizes[which]
+    flat = ids[ranges((np.cumsum(sizes) - sizes)[which], sizes_here)].astype("<u4").tobytes()
+    tokens = np.concatenate([[0], np.cumsum(sizes_here)])
+    close, before = end_id.to_bytes(4, "little"), 0
+    for sentences in upto:
+        ends = tokens[sentences] - before
+        total = int(ends[-1])
+        # No cut between the last sentence and the end id.
+        ends = np.append(ends, total + 1)
+        ends[-2] = total + 1
+        yield flat[4 * before : 4 * (before + total)] + close, ends
+        before += total
 
 
 def encode(text: bytes, table: WordTokens, end_id: int = END_ID) -> tuple[bytes, np.ndarray]:
-    """Ids of a document with the end id, and the token positions behind its sentences
-    and lines (the last one is the document's end)."""
-    look = table.__getitem__
-    for mark in (b".", b"!", b"?"):
-        text = text.replace(mark + b" ", mark + b"\n")
-    parts = [b"".join(map(look, s.split())) for s in text.split(b"\n")]
-    parts.append(end_id.to_bytes(4, "little"))
-    ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))) // 4
-    ends[-2] = ends[-1]  # no cut between the last sentence and the end id
-    return b"".join(parts), ends
+    """:func:`encode_batch` of one document."""
+    return next(encode_batch([text], table, end_id))
 
 
 def choose_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW, shortest: int = 1) -> list[int]:
@@ -98,8 +160,11 @@ def choose_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW,
     ``window`` apart) of the cheapest cuts, the end included.  Lengths of a power of two from
     ``shortest`` on count as unpadded."""
     at, fees = places.tolist(), penalties.tolist()
-    index = {p: i for i, p in enumerate(at)}
-    powers = [1 << k for k in range(window.bit_length()) if shortest <= 1 << k < window]
+    unpadded: dict[int, list[int]] = {}  # places a power of two ahead
+    for power in (1 << k for k in range(window.bit_length()) if shortest <= 1 << k < window):
+        ahead = np.searchsorted(places, places - power)
+        for j in np.flatnonzero(places[ahead] == places - power).tolist():
+            unpadded.setdefault(j, []).append(int(ahead[j]))
     cost, back = [0] * len(at), [0] * len(at)
     queue: deque[tuple[int, int]] = deque([(at[0], 0)])  # (cost + position, place), rising
     for j in range(1, len(at)):
@@ -108,9 +173,8 @@ def choose_cuts(places: np.ndarray, penalties: np.ndarray, window: int = WINDOW,
             queue.popleft()
         value, best = queue[0]
         value += window - here
-        for power in powers:
-            i = index.get(here - power)
-            if i is not None and cost[i] < value:
+        for i in unpadded.get(j, ()):
+            if cost[i] < value:
                 value, best = cost[i], i
         value += fees[j]
         cost[j], back[j] = value, best
@@ -195,7 +259,7 @@ class _Packer:
 
 def _pack_partition(tokenizer_file: str, window: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTokens(Tokenizer.from_file(tokenizer_file))
+        table = held(f"words {tokenizer_file}", lambda: WordTokens(Tokenizer.from_file(tokenizer_file)))
         packer = _Packer(window, TaskContext.get().partitionId() << 40)
         schema = pa.schema(
             [pa.field("doc_id", pa.int64())]
@@ -207,11 +271,13 @@ def _pack_partition(tokenizer_file: str, window: int, end_id: int):
 
         rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary())):
-                rows.extend(packer.add(doc_id, *encode(text.as_py() or b"", table, end_id)))
-            if len(rows) >= 5000:
-                yield table_of(rows)
-                rows = []
+            for part in slices(batch, pc.binary_length(batch["text"]), BATCH_BYTES):
+                texts = [text.as_py() or b"" for text in part["text"].cast(pa.binary())]
+                for doc_id, encoded in zip(part["doc_id"].to_pylist(), encode_batch(texts, table, end_id)):
+                    rows.extend(packer.add(doc_id, *encoded))
+                if len(rows) >= 5000:
+                    yield table_of(rows)
+                    rows = []
         rows.extend(packer.solve(last=True))
         if rows:
             yield table_of(rows)

@@ -2,11 +2,7 @@
 
 A byte-pair model merges, again and again, the adjacent pair whose joined piece scores highest, the leftmost
 first.  No piece reaches from a word into the next one's space mark, so words are independent and each
-distinct word of a batch is merged once: their symbols lie in one flat array, and a round finds the lowest pair rank of
-every word, merges all its occurrences from the left, and compacts the array, until no pair remains.
-
-Merging all occurrences at once is exact as long as no merge opens a pair that ranks as low as the merged one; a
-word's occurrences behind such a merge wait for a later round.
+distinct word of a batch is merged once, by the rounds of :mod:`plumeline.llm.merging`.
 """
 
 from __future__ import annotations
@@ -14,7 +10,6 @@ from __future__ import annotations
 import codecs
 import re
 import sys
-import types
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,116 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumeline.llm.merging import MergeTable, held, ranges, slices
+
 MARK = "▁"
 # A task merges the distinct words of about so many bytes of text at a time.
 BATCH_BYTES = 4 << 20
 # and decodes about so many ids at a time.
 BATCH_IDS = 200_000
-NO_RANK = np.iinfo(np.int32).max
-_HASH = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _PairTable:
-    """Symbol made of two symbols, -1 for none: an open-addressing hash table."""
-
-    def __init__(self, left: np.ndarray, right: np.ndarray, made: np.ndarray):
-        bits = max(int(len(left) * 6).bit_length(), 4)
-        self.shift, self.size = np.uint64(64 - bits), 1 << bits
-        self.keys = np.full(self.size, -1, dtype=np.int64)
-        self.made = np.full(self.size, -1, dtype=np.int32)
-        keys, self.probes = self._keys(left, right), 0
-        at = self._slots(keys)
-        while len(keys):
-            self.probes += 1
-            free = np.flatnonzero(self.keys[at] < 0)
-            _, first = np.unique(at[free], return_index=True)
-            put = free[first]
-            self.keys[at[put]], self.made[at[put]] = keys[put], made[put]
-            rest = np.ones(len(keys), dtype=bool)
-            rest[put] = False
-            keys, made, at = keys[rest], made[rest], (at[rest] + 1) % self.size
-
-    @staticmethod
-    def _keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return left.astype(np.int64) << 32 | right.astype(np.int64)
-
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * _HASH) >> self.shift).astype(np.int64)
-
-    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = self._keys(left, right)
-        at = self._slots(keys)
-        held = self.keys[at]
-        found = np.where(held == keys, self.made[at], np.int32(-1))
-        open_ = np.flatnonzero((held != keys) & (held >= 0))
-        for _ in range(self.probes - 1):
-            if not len(open_):
-                break
-            at_open = (at[open_] + 1) % self.size
-            at[open_] = at_open
-            held = self.keys[at_open]
-            same = held == keys[open_]
-            found[open_[same]] = self.made[at_open[same]]
-            open_ = open_[~same & (held >= 0)]
-        return found
-
-
-class _Flat:
-    """Symbols of words that still merge, in one flat array with links over merged ones.  The last slot ends every word; it makes
-    nothing with any symbol."""
-
-    def __init__(self, model: PieceModel, symbol: np.ndarray, word: np.ndarray, place: np.ndarray):
-        n = len(symbol)
-        self.model, self.word, self.place, self.dead = model, word, place, 0
-        self.symbol = np.append(symbol, np.int32(model.end))
-        self.alive = np.ones(n, dtype=bool)
-        first = np.diff(word, prepend=-1) != 0
-        self.starts = np.flatnonzero(first)
-        self.lengths = np.diff(self.starts, append=n)
-        self.previous = np.append(np.where(first, n, np.arange(-1, n - 1)), n)
-        self.next = np.append(np.where(np.append(first[1:], True)[:n], n, np.arange(1, n + 1)), n)
-        self.made = model.pair(self.symbol, self.symbol[self.next])
-        self.rank = model.rank[self.made]
-
-    def parted(self, over: np.ndarray) -> tuple[tuple, _Flat]:
-        """Symbols of the words that are ``over``, and the others without the merged slots."""
-        ended = np.repeat(over, self.lengths)
-        out, on = self.alive & ended, self.alive & ~ended
-        finished = (self.symbol[:-1][out], self.word[out], self.place[out])
-        return finished, _Flat(self.model, self.symbol[:-1][on], self.word[on], self.place[on])
-
-    def merge_at(self, at: np.ndarray) -> None:
-        """One round: of the pairs that begin at ``at``, equal in rank within a word, merge the leftmost ones that do not overlap,
-        up to the first of a word whose merge opens a pair of that rank or a lower one."""
-        model, count = self.model, np.arange(len(at))
-        fresh = np.append(True, self.next[at[:-1]] != at[1:])
-        at = at[(count - np.maximum.accumulate(np.where(fresh, count, 0))) % 2 == 0]
-        merged, limit = self.made[at], self.rank[at]
-        gone = self.next[at]
-        behind, ahead = self.next[gone], self.previous[at]
-        # Merged from left to right, the symbol ahead may be merged already, the one behind is not.
-        ahead_symbol = self.symbol[ahead]
-        touching = np.flatnonzero(behind[:-1] == at[1:]) + 1
-        ahead_symbol[touching] = merged[touching - 1]
-        left, right = model.pair(ahead_symbol, merged), model.pair(merged, self.symbol[behind])
-        opens = np.minimum(model.rank[left], model.rank[right]) <= limit
-        if opens.any():
-            before = np.cumsum(opens) - opens
-            first = np.flatnonzero(np.diff(self.word[at], prepend=-1))
-            safe = before == np.repeat(before[first], np.diff(first, append=len(at)))
-            at, merged, gone, behind, left, right = (x[safe] for x in (at, merged, gone, behind, left, right))
-        self.symbol[at] = merged
-        self.next[at] = behind
-        self.previous[behind] = at
-        self.previous[-1] = len(self.word)
-        self.alive[gone] = False
-        self.dead += len(at)
-        self.made[gone] = -1
-        self.made[at] = right
-        ahead = self.previous[at]
-        self.made[ahead] = left
-        changed = np.concatenate([gone, at, ahead])
-        self.rank[changed] = model.rank[self.made[changed]]
 
 
 class PieceModel:
@@ -166,22 +58,21 @@ class PieceModel:
         chars = {c: normal.get(c, -1) for c in sorted(set(chain.from_iterable(normal)))}
         for c in [c for c, i in chars.items() if i < 0]:
             chars[c] = size = size + 1
-        self.other, self.end = size + 1, size + 2
+        self.other = size + 1
         self.char_symbol = np.full(sys.maxunicode + 1, self.other, dtype=np.int32)
         for c, symbol in chars.items():
             self.char_symbol[ord(c)] = symbol
 
         scores = np.array([library.get_score(i) for i in normal.values()])
-        self.rank = np.full(self.end + 2, NO_RANK, dtype=np.int32)  # the last one answers for no pair, -1
-        self.rank[list(normal.values())] = np.unique(-scores, return_inverse=True)[1]
+        rank = dict(zip(normal.values(), np.unique(-scores, return_inverse=True)[1].tolist()))
         symbol_of = chars | normal
         made = [
-            (symbol_of[name[:cut]], symbol_of[name[cut:]], i)
+            (symbol_of[name[:cut]], symbol_of[name[cut:]], i, rank[i])
             for name, i in normal.items()
             for cut in range(1, len(name))
             if name[:cut] in symbol_of and name[cut:] in symbol_of
         ]
-        self.pair = _PairTable(*np.array(made, dtype=np.int64).reshape(-1, 3).T.astype(np.int32))
+        self.merges = MergeTable(*np.array(made, dtype=np.int64).reshape(-1, 4).T.astype(np.int32), end=size + 2)
         # Without a piece that holds a line break and more, lines are words of their own.
         self.lines_apart = not any("\n" in n and len(n) > 1 for n in normal)
         self.run = 0
@@ -200,7 +91,7 @@ class PieceModel:
         all such pieces rank alike, so runs fill up from the left, and do so in that length.  Otherwise 0."""
         runs = {len(n): i for n, i in normal.items() if len(n) > 1 and not n.strip(MARK)}
         most = max(runs, default=0)
-        if not most or len(set(self.rank[list(runs.values())].tolist())) > 1:
+        if not most or len(set(self.merges.rank[list(runs.values())].tolist())) > 1:
             return 0
         ids, ends = self.merge(pa.array([" " * (n - 1) for n in range(1, 4 * most)]))
         found = [part.tolist() for part in np.split(ids, ends[:-1])]
@@ -236,7 +127,7 @@ class PieceModel:
         lengths = pc.utf8_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64)
         whole = pc.binary_join(pa.LargeListArray.from_arrays([0, len(spelled)], spelled), nothing)[0].as_py() if len(words) else ""
         chars = np.frombuffer(whole.encode("utf-32-le"), dtype=np.uint32)
-        symbol, word, place = self._rounds(self.char_symbol[np.where(chars == 32, ord(MARK), chars)], lengths)
+        symbol, word, place = self.merges.rounds(self.char_symbol[np.where(chars == 32, ord(MARK), chars)], lengths)
         # Characters that are no piece become the ids of their bytes.
         raw_at = np.flatnonzero(symbol >= self.size)
         counts = np.ones(len(symbol), dtype=np.int64)
@@ -247,26 +138,9 @@ class PieceModel:
         if len(raw_at):
             raw = np.frombuffer(code.tobytes().decode("utf-32-le").encode(), dtype=np.uint8)
             sizes = counts[raw_at]
-            ids[np.arange(len(raw)) + np.repeat(ends[raw_at] - np.cumsum(sizes), sizes)] = self.byte_ids[raw]
+            ids[ranges(ends[raw_at] - sizes, sizes)] = self.byte_ids[raw]
         return ids, ends[np.flatnonzero(np.diff(word, append=-1))]
 
-    def _rounds(self, symbol: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Merged symbols, their words' numbers, and the places of their first characters."""
-        state = _Flat(self, symbol, np.repeat(np.arange(len(lengths)), lengths), np.arange(len(symbol)))
-        done: list[tuple] = []
-        while len(state.starts):
-            least = np.minimum.reduceat(state.rank[:-1], state.starts)
-            over = least == NO_RANK
-            if state.dead + state.lengths[over].sum() > len(state.word) // 2 or over.all():
-                finished, state = state.parted(over)
-                done.append(finished)
-                continue
-            least[over] = -1
-            state.merge_at(np.flatnonzero(state.rank[:-1] == np.repeat(least, state.lengths)))
-        columns = [np.concatenate(c) for c in zip(*done)] if done else [symbol, lengths[:0], lengths[:0]]
-        order = np.argsort(columns[1], kind="stable")
-        return tuple(c[order] for c in columns)
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
         parted = pc.split_pattern(pa.array([self.marked(t) for t in texts], pa.large_string()), MARK)
@@ -274,9 +148,8 @@ class PieceModel:
         ids, ends = self.merge(words.dictionary)
         which = words.indices.to_numpy()
         sizes = np.diff(ends, prepend=0)[which]
-        upto = np.cumsum(sizes)
-        flat = ids[np.arange(upto[-1] if len(upto) else 0) + np.repeat(ends[which] - upto, sizes)]
-        totals = np.concatenate([[0], upto])[parted.offsets.to_numpy()]
+        flat = ids[ranges(ends[which] - sizes, sizes)]
+        totals = np.concatenate([[0], np.cumsum(sizes)])[parted.offsets.to_numpy()]
         counts = np.diff(totals)
         # An empty text has no mark put in front either.
         empty = np.array([not t for t in texts], dtype=bool)
@@ -318,21 +191,7 @@ def _each_byte(error: UnicodeError) -> tuple[str, int]:
 def model(model_file: str) -> PieceModel:
     """The model of this Python process, read once for all its tasks."""
     codecs.register_error("plumeline_each_byte", _each_byte)
-    held = sys.modules.setdefault("_plumeline_held", types.ModuleType("_plumeline_held")).__dict__
-    if model_file not in held:
-        held[model_file] = PieceModel(model_file)
-    return held[model_file]
-
-
-def _slices(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose rows' ``sizes`` sum up to about ``most``, or one larger row; null counts as 0."""
-    upto = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-    begin = 0
-    while begin < len(upto):
-        before = upto[begin - 1] if begin else 0
-        end = max(int(np.searchsorted(upto, before + most, "right")), begin + 1)
-        yield batch.slice(begin, end - begin)
-        begin = end
+    return held(model_file, lambda: PieceModel(model_file))
 
 
 def encode(docs: DataFrame, model_file: str, column: str = "text", ids: str = "ids") -> DataFrame:
@@ -349,7 +208,7 @@ def encode(docs: DataFrame, model_file: str, column: str = "text", ids: str = "i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(model_file)
         for batch in batches:
-            for part in _slices(batch, pc.binary_length(batch[column]), BATCH_BYTES):
+            for part in slices(batch, pc.binary_length(batch[column]), BATCH_BYTES):
                 texts = [(t.as_py() or b"").decode("utf-8", "replace") for t in part[column].cast(pa.binary())]
                 flat, counts = pieces.encode(texts)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
@@ -368,7 +227,7 @@ def decode(encoded: DataFrame, model_file: str, column: str = "ids", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(model_file)
         for batch in batches:
-            for part in _slices(batch, pc.list_value_length(batch[column]), BATCH_IDS):
+            for part in slices(batch, pc.list_value_length(batch[column]), BATCH_IDS):
                 texts = [pieces.decode(ids.as_py() or []) for ids in part[column]]
                 yield pa.RecordBatch.from_arrays([*(part[f.name] for f in others), pa.array(texts, pa.string())], names=schema.names)
 
