@@ -2,10 +2,11 @@
 
 Every document of a source, in shuffled order, is served at the rate of the source's
 target: the words of the source served before it, plus its own, over the target are its virtual
-finish time.  Up to ``MAX_COPIES`` passes over a source follow each other.  All copies are
-sorted by virtual finish time over the whole corpus and the running number of words is cut at the
-budget.  Virtual time 1 is where every source has had its target, which together are the budget;
-a document in service then is cut there, so a source misses its target by less than a word.
+finish time.  Up to ``MAX_COPIES`` passes over a source follow each other.  All copies of all sources are
+range-sorted by virtual finish time, and the running number of words ends the mix at the
+budget, the only cut: of the copy that lies across it the first words are taken, of later ones none.  At any virtual
+time every source has had that part of its target but for a document in service, so the sources end near their targets, which
+together are the budget.
 """
 
 from __future__ import annotations
@@ -77,19 +78,14 @@ def schedule(docs: DataFrame, scratch: Scratch, row: str = "_row", seed: int = 2
     )
     copies = served.withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(MAX_COPIES)])))
     start = F.col("copy") * F.col("source_size") + F.col("ahead")
-    in_time = F.floor(F.col("target")) - start
-    copies = copies.withColumn("in_time", F.least(F.greatest(in_time, F.lit(0)), F.col("size")))
-    copies = copies.withColumn(
-        "finish", F.when(F.col("target") > 0, (start + F.col("in_time")) / F.col("target")).otherwise(F.lit(1.0))
-    )
-    copies = scratch.save(copies.drop("ahead"))
-    fair = [F.col("in_time") == 0, F.col("finish"), *shuffle, F.col("copy"), F.col(row)]
-    mixed = running_totals(copies, fair, "in_time", scratch)
+    finish = F.when(F.col("target") > 0, (start + F.col("size")) / F.col("target")).otherwise(F.lit(0.0))
+    copies = scratch.save(copies.withColumn("finish", finish).drop("ahead"))
+    mixed = running_totals(copies, [F.col("finish"), *shuffle, F.col("copy"), F.col(row)], "size", scratch)
     budget = (docs.agg(F.sum("size")).first()[0] or 0) * BUDGET_PERCENT // 100
     room = F.greatest(F.lit(budget) - F.col("before"), F.lit(0))
     return mixed.select(
         row, "doc_id", "copy", "size", "source_size", "target",
-        F.least("in_time", room).cast("long").alias("words"), F.col("before").alias("mix_start"),
+        F.least("size", room).cast("long").alias("words"), F.col("before").alias("mix_start"),
     )
 
 
@@ -121,8 +117,9 @@ def taken_words(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix itself: a row of ``docs`` (all columns) for every copy taken.  Of a document
-    cut at the budget the text ends with its last word taken."""
+    """The mix itself: a row of ``docs`` (all columns) for every copy taken.  Of the document
+    cut at the budget the text ends with its last word taken.  Null, empty and blank texts are not taken; an empty
+    table gives no rows; repeated rows are taken each."""
     scratch = Scratch(docs.sparkSession, "mixing")
     kept = scratch.save(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("_row")))
     sized = scratch.save(_sized(kept.select("_row", "doc.doc_id", "doc.source", "doc.text")))

@@ -105,12 +105,12 @@ MIXING = rf"""
         SELECT s.*, source_size, target, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
         FROM sized s JOIN targets t ON t.source IS NOT DISTINCT FROM s.source),
-    copies AS (
-        SELECT *, least(greatest(floor(target)::BIGINT - (copy * source_size + ahead), 0), size) AS words
-        FROM served, (VALUES (0), (1)) AS t(copy)),
+    copies AS (SELECT *, copy * source_size + ahead AS start FROM served, (VALUES (0), (1)) AS t(copy)),
+    lined AS (
+        SELECT *, coalesce(sum(size) OVER (ORDER BY if(target > 0, (start + size) / target, 0), h, doc_id, copy
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS mix_start FROM copies),
     mixed AS (
-        SELECT *, coalesce(sum(words) OVER (ORDER BY words = 0, (copy * source_size + ahead + words) / target, h, doc_id, copy
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS mix_start FROM copies)
+        SELECT *, least(size, greatest((SELECT sum(size) FROM sized)::BIGINT * 150 // 100 - mix_start, 0))::BIGINT AS words FROM lined)
     SELECT doc_id, size, source_size, target, sum(words)::BIGINT AS taken,
            min(CASE WHEN words > 0 THEN mix_start END)::BIGINT AS mix_start
     FROM mixed GROUP BY doc_id, size, source_size, target
