@@ -11,6 +11,7 @@ exactly.  How many are visited is read off the sample: the fewest that find
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from dataclasses import dataclass
 
 import numpy as np
@@ -226,7 +227,7 @@ def nearest(
     ``is_query`` is a condition on ``vec_id``; all rows but those with the query's id are
     candidates.  Nearest is the largest inner product in double precision, ties go to the
     smaller id.  Null vectors and ids, zero vectors and vectors with null or non-finite
-    components, or with another length than the most frequent one of the sample, take no part; rows that repeat id and
+    components take no part; vectors of another length are searched among their own; rows that repeat id and
     vector count once; other columns are ignored.  Of equal vectors only the ``k + 1`` with the
     smallest ids can be among the nearest ``k``, and only these are compared.  No rows give no rows.
     """
@@ -236,14 +237,17 @@ def nearest(
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.where("vec_id is not null and vector is not null").where(fine).withColumn("hash", F.xxhash64("vector"))
     rows = scratch.save(rows.dropDuplicates(["vec_id", "hash", "vector"]))
+    widths = [r[0] for r in rows.select(F.size("vector")).distinct().collect()]
+    if not widths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    answers = [_nearest(rows.where(F.size("vector") == width), is_query, k, sample_rows, scratch) for width in sorted(widths)]
+    return reduce(DataFrame.union, answers)
+
+
+def _nearest(rows: DataFrame, is_query: str, k: int, sample_rows: int, scratch: Scratch) -> DataFrame:
+    """:func:`nearest` of checked rows ``vec_id, vector, hash`` of one length."""
     sample = sorted(hash_sample(rows, F.xxhash64("vec_id", "hash"), sample_rows).select("vec_id", "vector").collect())
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sample:
-        return spark.createDataFrame([], schema)
-    lengths = np.array([len(r["vector"]) for r in sample])
-    width = int(np.bincount(lengths).argmax())
-    router = fit(np.array([r["vector"] for r in sample if len(r["vector"]) == width]), k)
-    rows = rows.where(F.size("vector") == width)
+    router = fit(np.array([r["vector"] for r in sample]), k)
 
     alike = W.partitionBy("hash", "vector").orderBy("vec_id")
     chosen = rows.withColumn("nth", F.row_number().over(alike)).where(F.col("nth") <= k + 1).drop("nth")

@@ -32,10 +32,12 @@ def words(text: Column) -> Column:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; where none is set (tests) a fresh
+    """The shared folder the cluster names; where none is set and all runs on one machine (tests) a fresh
     temporary folder, which is then set for the session."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="plumeline-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

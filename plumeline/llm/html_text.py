@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "head script style template noscript iframe noembed noframes title meta link base object audio video canvas svg math datalist param source track".split()
+    "head script style template noscript iframe noembed noframes title meta link base object audio video canvas datalist param source track "
+    "desc metadata defs annotation annotation-xml".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -43,14 +45,12 @@ IMPLIED = {
 }
 #: What an open head may hold; any other start tag, or text, ends it.
 IN_HEAD = frozenset("html head title meta link base basefont bgsound script style template noscript noframes".split())
-#: Elements nested deeper become siblings; their text is kept.
+#: Elements nested deeper are not opened; their text goes to the innermost open one, if it is visible.
 MAX_DEPTH = 200
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<|[^<]+",
-    re.S,
-)
+START = re.compile(r"<([a-zA-Z][^\s/>]*)")
+END = re.compile(r"</([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none", re.I)
@@ -65,39 +65,156 @@ class Node:
         self.children: list[Node | str] = []
 
 
+class _Tags:
+    """Ends of tags in a page, each found in one forward pass: what a search has shown not to lie ahead is not searched
+    for again, so any number of unclosed tags and quotes costs one pass more, not one each."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.open_quotes: set[int] = set()  # quotes from which no end was found
+        self.missing: dict[str, int] = {}  # what does not occur from a place on
+        self.stop = (0, -1)  # no quote or end from the first place up to the second
+
+    def find(self, text: str, at: int) -> int:
+        if at >= self.missing.get(text, len(self.page) + 1):
+            return -1
+        found = self.page.find(text, at)
+        if found < 0:
+            self.missing[text] = at
+        return found
+
+    def _next_stop(self, at: int) -> int:
+        begin, end = self.stop
+        if not begin <= at <= end:
+            match = STOP.search(self.page, at)
+            self.stop = at, match.start() if match else len(self.page)
+        return self.stop[1]
+
+    def end(self, at: int) -> int:
+        """The place of the ``>`` that ends a start tag whose name ends at ``at``; -1 without one."""
+        seen = []
+        while True:
+            at = self._next_stop(at)
+            if at == len(self.page) or at in self.open_quotes:
+                break
+            if self.page[at] == ">":
+                return at
+            seen.append(at)
+            close = self.find(self.page[at], at + 1)
+            if close < 0:
+                break
+            at = close + 1
+        self.open_quotes.update(seen)
+        return -1
+
+
+class _Deep:
+    """Elements beyond ``MAX_DEPTH``, which are counted but not opened."""
+
+    def __init__(self) -> None:
+        self.tags: list[tuple[str, bool]] = []
+        self.counts: Counter[str] = Counter()
+        self.hidden = 0
+
+    def start(self, node: Node) -> None:
+        shown = VISIBILITY.search(node.fields.get("style", ""))
+        hides = not _seen(node) or (shown is not None and shown[1].lower() != "visible")
+        self.tags.append((node.tag, hides))
+        self.counts[node.tag] += 1
+        self.hidden += hides
+
+    def end(self, tag: str) -> bool:
+        """End the innermost element of this tag and those in it; False without one."""
+        if not self.counts[tag]:
+            return False
+        while True:
+            ended, hides = self.tags.pop()
+            self.counts[ended] -= 1
+            self.hidden -= hides
+            if ended == tag:
+                return True
+
+
 def parse(page: str) -> Node:
-    """The tree of a page.  Never fails: stray ends are ignored, open elements end with their parent."""
+    """The tree of a page.  Never fails: stray ends are ignored, open elements end with their parent.  Time grows with
+    the length of the page, whatever is unclosed in it."""
     root = Node("html", {})
-    stack = [root]
-    at = 0
-    while match := TOKEN.match(page, at):
-        at = match.end()
-        ended, started, inside = match.groups()
-        if ended:
-            _end(stack, ended.lower())
-        elif started:
-            tag = started.lower()
-            fields = {}
-            if inside:
-                for name, a, b, c in ATTRIBUTE.findall(inside):
-                    fields.setdefault(name.lower(), html.unescape(a or b or c))
-            _start(stack, node := Node(tag, fields))
-            if tag in VOID:
+    stack, deep, tags = [root], _Deep(), _Tags(page)
+    at, size = 0, len(page)
+
+    def text(begin: int, end: int) -> None:
+        if stack[-1].tag == "head" and page[begin:end].strip(" \t\n\r\f"):
+            stack.pop()
+        if not deep.hidden:
+            stack[-1].children.append(html.unescape(page[begin:end]))
+
+    while at < size:
+        if page[at] != "<":
+            end = tags.find("<", at)
+            text(at, end if end >= 0 else size)
+            at = end if end >= 0 else size
+            continue
+        if page.startswith("<!--", at):
+            end = tags.find("-->", at + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        if page[at + 1 : at + 2] in ("!", "?"):
+            end = tags.find(">", at + 2)
+            if end >= 0:
+                at = end + 1
                 continue
-            if tag in RAW:
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
-                body = page[at : close.start()]
-                node.children.append(html.unescape(body) if tag in ("title", "textarea") else body)
-                at = close.end()
-            elif len(stack) < MAX_DEPTH:
-                stack.append(node)
-        elif not match[0].startswith(("<!", "<?")):
-            if stack[-1].tag == "head" and match[0].strip(" \t\n\r\f"):
-                stack.pop()
-            stack[-1].children.append(html.unescape(match[0]))
+        elif match := END.match(page, at):
+            end = tags.find(">", match.end())
+            if end >= 0:
+                tag, before = match[1].lower(), len(stack)
+                if not deep.end(tag):
+                    _end(stack, tag)
+                    if len(stack) < before:
+                        deep = _Deep()
+                at = end + 1
+                continue
+        elif match := START.match(page, at):
+            end = tags.end(match.end())
+            if end >= 0:
+                node = Node(match[1].lower(), _fields(page[match.end() : end]))
+                at = end + 1
+                if deep.tags:
+                    if not deep.hidden:
+                        stack[-1].children.append(node)
+                else:
+                    _start(stack, node)
+                if node.tag in VOID:
+                    continue
+                if node.tag in RAW:
+                    begin, (stop, at) = at, _raw_end(page, node.tag, at, tags)
+                    body = page[begin:stop]
+                    node.children.append(html.unescape(body) if node.tag in ("title", "textarea") else body)
+                elif deep.tags or len(stack) >= MAX_DEPTH:
+                    deep.start(node)
+                else:
+                    stack.append(node)
+                    if node.tag == "pre":  # a line break right behind it is none of its text
+                        at += page.startswith("\n", at) + 2 * page.startswith("\r\n", at)
+                continue
+        text(at, at + 1)
+        at += 1
     return root
 
 
+def _fields(inside: str) -> dict[str, str]:
+    fields: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(inside):
+        fields.setdefault(name.lower(), html.unescape(a or b or c))
+    return fields
+
+
+def _raw_end(page: str, tag: str, at: int, tags: _Tags) -> tuple[int, int]:
+    """Where the text of a raw element ends, and where what follows it begins."""
+    close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+    end = tags.find(">", close.end()) if close else -1
+    return (close.start(), end + 1) if end >= 0 else (len(page), len(page))
+
+
 def _start(stack: list[Node], node: Node) -> None:
     tag = node.tag
     ends, beyond = IMPLIED.get(tag, (None, None))
@@ -258,6 +375,10 @@ def _render(node: Node, out: _Text, visible: bool, depth: int, pre: bool) -> Non
         prefix, mark = out.prefix, out.mark
         if tag in ("ul", "ol", "menu", "dir"):
             _list(child, out, seen, depth + 1)
+        elif tag == "details" and "open" not in child.fields:
+            shut = Node("div", {})
+            shut.children = [c for c in child.children if isinstance(c, Node) and c.tag == "summary"][:1]
+            _render(shut, out, seen, depth + 1, pre)
         else:
             if tag in ("blockquote", "dd"):
                 out.prefix += "    "

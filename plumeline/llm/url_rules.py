@@ -8,7 +8,6 @@ explicit allow of any alias goes before every block.
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 from urllib.parse import urldefrag, urljoin
@@ -17,13 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumeline.llm import html_text
 from plumeline.llm.common import Scratch, components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-TAG = re.compile(r"<(link|meta)\b((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.I)
-ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 REFRESH = re.compile(r"\s*[\d.]*\s*[;,]\s*url\s*=\s*['\"]?([^'\"]+)", re.I)
-UNSEEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)", re.I | re.S)
 
 
 def _rest(url: Column) -> Column:
@@ -51,23 +48,39 @@ def node_of(url: Column) -> Column:
     return F.when(at > 0, lowered).otherwise(bare)
 
 
+def _head_tags(page: str) -> Iterator[html_text.Node]:
+    """``base``, ``link`` and ``meta`` elements of a page's head, whether its tags are written or left out."""
+    open_nodes = [html_text.parse(page)]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.tag in ("base", "link", "meta"):
+            yield node
+        elif node.tag in ("html", "head"):
+            open_nodes += [c for c in reversed(node.children) if isinstance(c, html_text.Node)]
+
+
 def links_of(page: str, url: str) -> list[str]:
-    """Targets of canonical links and of refreshes in a page, resolved against its url."""
-    found = []
-    for kind, inside in TAG.findall(UNSEEN.sub(" ", page)):
-        fields = {name.lower(): html.unescape(a or b or c) for name, a, b, c in ATTRIBUTE.findall(inside)}
-        target = None
-        if kind.lower() == "link" and "canonical" in fields.get("rel", "").lower().split():
+    """Targets of canonical links and of refreshes in a page's head, resolved against its first ``base`` or its url."""
+    found: list[str] = []
+    base = None
+    for node in _head_tags(page):
+        fields, target = node.fields, None
+        if node.tag == "base":
+            base = base or fields.get("href", "").strip() or None
+        elif node.tag == "link" and "canonical" in fields.get("rel", "").lower().split():
             target = fields.get("href")
-        elif kind.lower() == "meta" and fields.get("http-equiv", "").lower() == "refresh":
+        elif node.tag == "meta" and fields.get("http-equiv", "").lower() == "refresh":
             match = REFRESH.match(fields.get("content", ""))
             target = match and match[1]
         if target and target.strip():
-            try:
-                found.append(urldefrag(urljoin(url, target.strip()))[0])
-            except ValueError:  # not a url
-                continue
-    return found
+            found.append(target.strip())
+    resolved = []
+    for target in found:
+        try:
+            resolved.append(urldefrag(urljoin(urljoin(url, base) if base else url, target))[0])
+        except ValueError:  # not a url
+            continue
+    return resolved
 
 
 def _page_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
