@@ -54,15 +54,21 @@ def latest_station(current: DataFrame, location: DataFrame, pollutant: DataFrame
 
     Ties on both timestamps go to the smallest ``natural_key``.
     """
-    latest = first_per_key(
-        daily_only(current),
-        ["location_id", "pollutant_code"],
-        [
-            F.col("timestamp_start_utc").desc_nulls_first(),
-            F.col("updated_at").desc_nulls_first(),
-            F.col("natural_key").asc_nulls_last(),
-        ],
-    )
+    return described_latest(latest_rows(daily_only(current)), location, pollutant, threshold)
+
+
+def latest_rows(rows: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """The latest row per station and pollutant (and per ``within``)."""
+    order = [
+        F.col("timestamp_start_utc").desc_nulls_first(),
+        F.col("updated_at").desc_nulls_first(),
+        F.col("natural_key").asc_nulls_last(),
+    ]
+    return first_per_key(rows, [*within, "location_id", "pollutant_code"], order)
+
+
+def described_latest(latest: DataFrame, location: DataFrame, pollutant: DataFrame, threshold: DataFrame) -> DataFrame:
+    """Latest rows with station, pollutant and thresholds (JOIN-1..3)."""
     attributes = (
         "location_type", "country_code", "state_code", "county_code", "site_number", "aqsid",
         "site_name", "city_name", "latitude", "longitude",
@@ -96,6 +102,11 @@ def _trend(
             *extra,
         )
     )
+    return described_trend(grouped, location, pollutant)
+
+
+def described_trend(grouped: DataFrame, location: DataFrame, pollutant: DataFrame) -> DataFrame:
+    """Aggregates by station and pollutant with region and pollutant name."""
     measures = [c for c in grouped.columns if c not in ("location_id", "pollutant_code")]
     return with_pollutant(with_location(grouped, location), pollutant).select(
         *REGION, "location_id", "pollutant_code", "pollutant_name", *measures
@@ -137,6 +148,10 @@ def _station_days(current: DataFrame, location: DataFrame) -> DataFrame:
         .groupBy("location_id", "pollutant_code", day_of(F.col("timestamp_start_utc")).alias("day_utc"))
         .agg(F.count("natural_key").alias("row_count"))
     )
+    return in_known_regions(counted, location)
+
+
+def in_known_regions(counted: DataFrame, location: DataFrame) -> DataFrame:
     known = location.where(F.col("state_code").isNotNull() & F.col("county_code").isNotNull())
     return with_location(counted, known)
 
@@ -163,7 +178,11 @@ def station_totals(current: DataFrame, location: DataFrame) -> DataFrame:
 
 def region_coverage(current: DataFrame, location: DataFrame, pollutant: DataFrame) -> DataFrame:
     """Observations, reporting stations and coverage ratio by region and day (AGG-6, JOIN-10)."""
-    station_days = _station_days(current, location)
+    return coverage_of(_station_days(current, location), pollutant)
+
+
+def coverage_of(station_days: DataFrame, pollutant: DataFrame) -> DataFrame:
+    """Coverage from one row per region, pollutant, station and day."""
     observed = station_days.groupBy(*REGION, "pollutant_code", "day_utc").agg(
         F.sum("row_count").alias("observation_count"),
         F.count(F.lit(1)).alias("reporting_station_count"),
@@ -184,11 +203,16 @@ def exceedance_events(
 
     The thresholds come first: they drop most rows before the wider joins.
     """
-    above = (
-        daily_only(current)
-        .join(broadcast_if_small(active_thresholds(threshold)), ["pollutant_code", "unit"])
-        .where(F.col("value_numeric") > F.col("threshold_value"))
-    )
+    return described_exceedances(above_threshold(daily_only(current), threshold), location, pollutant)
+
+
+def above_threshold(rows: DataFrame, threshold: DataFrame) -> DataFrame:
+    """Rows strictly above an active threshold of their pollutant and unit, once per threshold."""
+    joined = rows.join(broadcast_if_small(active_thresholds(threshold)), ["pollutant_code", "unit"])
+    return joined.where(F.col("value_numeric") > F.col("threshold_value"))
+
+
+def described_exceedances(above: DataFrame, location: DataFrame, pollutant: DataFrame) -> DataFrame:
     value, limit = F.col("value_numeric"), F.col("threshold_value")
     return with_pollutant(with_location(above, location), pollutant).select(
         "natural_key", "location_id", *REGION, "pollutant_code", "pollutant_name", "value_numeric",
@@ -209,6 +233,11 @@ def region_day_average(current: DataFrame, location: DataFrame) -> DataFrame:
         .groupBy("location_id", "pollutant_code", day_of(F.col("timestamp_start_utc")).alias("day_utc"))
         .agg(F.sum("value_numeric").alias("total"), F.count("value_numeric").alias("measured"), F.count(F.lit(1)).alias("n"))
     )
+    return region_days_of(station_days, location)
+
+
+def region_days_of(station_days: DataFrame, location: DataFrame) -> DataFrame:
+    """Region days from ``total, measured, n`` per station, pollutant and day."""
     return (
         with_location(station_days, location)
         .groupBy(*REGION, "pollutant_code", "day_utc")
@@ -237,7 +266,12 @@ def with_trailing_baseline(region_days: DataFrame) -> DataFrame:
 
 def anomaly_spikes(current: DataFrame, location: DataFrame, pollutant: DataFrame) -> DataFrame:
     """Region days at least 2.5 deviations off their trailing baseline (WIN-8, FLT-9)."""
-    scored = with_trailing_baseline(region_day_average(current, location))
+    return spikes_of(region_day_average(current, location), pollutant)
+
+
+def spikes_of(region_days: DataFrame, pollutant: DataFrame) -> DataFrame:
+    """The region days that are spikes against the days before them."""
+    scored = with_trailing_baseline(region_days)
     delta = F.col("day_avg_value") - F.col("baseline_avg_value")
     spikes = (
         scored.where(F.col("baseline_stddev") > 0)
