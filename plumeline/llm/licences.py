@@ -5,7 +5,8 @@ families, an ``unknown`` class (licence talk of no family) and ``none`` (other t
 It is fitted on variations of the notices below and on a bounded sample of the
 corpus.  Held-out variations calibrate its confidence by one temperature; a family whose
 calibrated probability is under ``SURE`` becomes ``unknown``.  A family is confirmed when the paragraph
-holds at least ``CONFIRMED`` of the trigrams of one of its notices.
+holds at least ``CONFIRMED`` of the trigrams of one of its notices (bigrams, of two-word notices), and no larger share of
+a notice of another family.
 
 Every line is judged.  Adjacent lines with words (comment marks are none) are a block, and a notice whose
 trigrams follow each other over lines of a block is a paragraph of these lines, judged as one in place of them.
@@ -32,11 +33,15 @@ NOTICES = {
         "this project is licensed under the terms of the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
         "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability",
+        "spdx-license-identifier mit",
     ],
     "apache": [
         "licensed under the apache license version 2.0",
         "you may not use this file except in compliance with the license you may obtain a copy of the license at apache.org",
         "apache license version 2.0 january 2004",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis",
+        "spdx-license-identifier apache-2.0",
     ],
     "gpl": [
         "this work is licensed under the gnu general public license version 3",
@@ -47,16 +52,28 @@ NOTICES = {
     "lgpl": [
         "licensed under the gnu lesser general public license version 2.1",
         "this library is free software you can redistribute it under the terms of the gnu lesser general public license",
+        "you should have received a copy of the gnu lesser general public license along with this library",
     ],
     "bsd": [
         "redistribution and use in source and binary forms with or without modification are permitted",
         "released under the bsd 3-clause license",
         "use of this source code is governed by a bsd style license",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+        "spdx-license-identifier bsd-3-clause",
     ],
     "mpl": [
         "this source code form is subject to the terms of the mozilla public license v 2.0",
         "licensed under the mozilla public license version 2.0",
     ],
+    "epl": [
+        "made available under the terms of the eclipse public license v 2.0",
+        "licensed under the eclipse public license version 1.0",
+        "eclipse public license v 2.0",
+    ],
+    "boost": [
+        "distributed under the boost software license version 1.0",
+    ],
     "cc-by": [
         "licensed under cc by 4.0",
         "this work is licensed under a creative commons attribution 4.0 international license",
@@ -98,9 +115,18 @@ def grams(paragraph: str) -> set[tuple[str, ...]]:
     return {*zip(found, found[1:]), *zip(found, found[1:], found[2:])}
 
 
-def _trigrams(paragraph: str) -> frozenset:
-    found = WORD.findall(paragraph.lower())
-    return frozenset(zip(found, found[1:], found[2:]))
+def _template(notice: str) -> frozenset:
+    """What a paragraph is compared with: the notice's trigrams, or its bigram."""
+    found = WORD.findall(notice.lower())
+    return frozenset(zip(found, found[1:], found[2:]) if len(found) > 2 else zip(found, found[1:]))
+
+
+TEMPLATES = {family: [_template(n) for n in notices] for family, notices in [*NOTICES.items(), ("unknown", UNKNOWN)]}
+
+
+def _share(own: set[tuple[str, ...]], family: str) -> float:
+    """The largest share of one of a family's templates that ``own`` holds."""
+    return max(len(own & t) / len(t) for t in TEMPLATES[family])
 
 
 @dataclass
@@ -133,9 +159,10 @@ class Classifier:
         family = self.classes[best] if p[best] >= SURE else "unknown"
         if family == "unknown":
             return family, float(p[self.classes.index("unknown")] if self.classes[best] == "unknown" else 1 - p[best]), 0.0, False
-        own = _trigrams(paragraph)
-        overlap = max(len(own & t) / len(t) for t in map(_trigrams, NOTICES[family]))
-        return family, float(p[best]), overlap, overlap >= CONFIRMED
+        own = grams(paragraph)
+        overlap = _share(own, family)
+        rival = max(_share(own, other) for other in NOTICES if other != family)
+        return family, float(p[best]), overlap, overlap >= CONFIRMED and overlap >= rival
 
 
 def _places() -> tuple[dict[tuple[str, ...], list[tuple[int, int]]], list[int]]:
@@ -227,8 +254,7 @@ def _apart(line: str, family: str, others: set[str]) -> bool:
     """Whether a line of paragraphs of ``others`` confirms another family by trigrams that they have not."""
     if family in others or family == "unknown":
         return False
-    own = _trigrams(line).difference(*(_trigrams(n) for f in others for n in NOTICES.get(f, UNKNOWN)))
-    return any(len(own & t) >= CONFIRMED * len(t) for t in map(_trigrams, NOTICES[family]))
+    return _share(grams(line).difference(*(t for f in others for t in TEMPLATES[f])), family) >= CONFIRMED
 
 
 def _variations(notice: str, filler: list[str], count: int, random: np.random.Generator) -> list[str]:
