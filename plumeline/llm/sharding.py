@@ -25,6 +25,7 @@ SPLIT = 8
 ROW_OVERHEAD = 16
 #: Largest spread between shards, as a share of a shard, that is not worth a move.
 TOLERANCE = 0.0005
+STORED = "vslot int, part int, shard int"
 
 
 @dataclass(frozen=True)
@@ -39,9 +40,16 @@ class SlotMap:
     def first(cls, keys: list[tuple[int, int]], shards: int) -> SlotMap:
         return cls(1, shards, {key: i % shards for i, key in enumerate(sorted(keys))})
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, version: int) -> SlotMap:
+        """A stored version; its rows, at most slots and their parts, pass the driver."""
+        rows = spark.read.schema(STORED).parquet(f"{path}/version={version}").collect()
+        return cls(version, max((r["shard"] for r in rows), default=-1) + 1, {(r["vslot"], r["part"]): r["shard"] for r in rows})
+
     def rebalanced(self, weight: dict[tuple[int, int], int], shards: int | None = None) -> SlotMap:
         """The next version, for ``shards`` (default: as many as now): slots move from
-        the heaviest to the lightest shard while that brings the two closer."""
+        the heaviest to the lightest shard while that brings the two closer.  Slots and
+        parts that the map does not know yet go to the lightest shards."""
         shards = shards or self.shards
         held: list[list[tuple[int, tuple[int, int]]]] = [[] for _ in range(shards)]
         moved = dict(self.shard_of)
@@ -51,6 +59,7 @@ class SlotMap:
                 held[shard].append((weight.get(key, 0), key))
             else:
                 homeless.append((weight.get(key, 0), key))
+        homeless += [(w, key) for key, w in weight.items() if key not in moved]
         for slots in held:
             slots.sort()
         total = [sum(w for w, _ in slots) for slots in held]
@@ -86,15 +95,17 @@ class SlotMap:
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(slot, part, shard) for (slot, part), shard in self.shard_of.items()]
-        return spark.createDataFrame(rows, "vslot int, part int, shard int").coalesce(1)
+        return spark.createDataFrame(rows, STORED).coalesce(1)
 
     def store(self, spark: SparkSession, path: str) -> DataFrame:
         """Write this version beside the earlier ones and return it as a table."""
         self.to_frame(spark).write.parquet(f"{path}/version={self.version}")
-        return spark.read.schema("vslot int, part int, shard int").parquet(f"{path}/version={self.version}")
+        return spark.read.schema(STORED).parquet(f"{path}/version={self.version}")
 
 
-def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS) -> DataFrame:
+def shard(
+    docs: DataFrame, shards: int = 40, slots: int = SLOTS, slot_map: SlotMap | None = None, map_path: str | None = None
+) -> DataFrame:
     """Shard and place of every document: ``doc_id, size, text_crc32, law, shard, slot,
     grown_shard, virtual_slot``.
 
@@ -102,6 +113,10 @@ def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS) -> DataFrame:
     row's place in its shard, gapless from 0.  ``docs`` needs ``doc_id, text``; other columns are
     ignored.  Null ids and repeated rows are spread like any heavy slot; no
     rows give no rows.
+
+    ``slot_map`` is the map of an earlier run with the same ``slots``: it is edited, not built anew, so records
+    move only as far as balance asks for, and the edit is the next version.  Versions are written below ``map_path``, a
+    folder shared by all executors (default: the run's own).
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "sharding")
@@ -121,10 +136,12 @@ def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS) -> DataFrame:
     placed = rows.join(F.broadcast(split), "vslot", "left").select(*rows.columns, part.alias("part"))
     weighed = placed.groupBy("vslot", "part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
     weight = {(r["vslot"], r["part"]): r["bytes"] for r in weighed}
-    balanced = SlotMap.first(list(weight), shards)
-    balanced.store(spark, f"{scratch.root}/map")
-    balanced = balanced.rebalanced(weight)
-    balanced.store(spark, f"{scratch.root}/map")
+    map_path = map_path or f"{scratch.root}/map"
+    if slot_map is None:
+        slot_map = SlotMap.first(list(weight), shards)
+        slot_map.store(spark, map_path)
+    balanced = slot_map.rebalanced(weight, shards)
+    balanced.store(spark, map_path)
 
     start, at = [0] * shards, []
     for r in sorted(weighed, key=lambda r: (r["vslot"], r["part"])):
