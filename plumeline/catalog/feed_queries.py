@@ -407,6 +407,33 @@ def _hourly_lines(spark, sf):
     )
 
 
+@register(
+    "quoted_lines",
+    with_views(
+        "raw_provisional",
+        """SELECT aqsid_raw AS site, concat('Site "', parameter_name, '"', chr(10), 'row, ', CAST(event_id AS VARCHAR)) AS site_name,
+                  value_text, event_id FROM raw_provisional""",
+    ),
+)
+def _quoted_lines(spark, sf):
+    # raw feed rows as records of two lines each, in files per day; blocks end inside quoted cells
+    raw = fx.raw_provisional(spark, sf)
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in ("valid_date", "valid_time", "aqsid_raw")]
+    name = F.concat(F.lit('"Site ""'), "parameter_name", F.lit('""\nrow, '), F.col("event_id").cast("string"), F.lit('"'))
+    record = F.concat_ws(",", *cells, name, F.lit("0"), "parameter_name", F.col("event_id").cast("string"), "value_text")
+    lines = raw.select(
+        F.date_format(fn.parse_feed_date(F.col("valid_date")), "yyyyMMdd").alias("object_key"), "event_id",
+        F.posexplode(F.split(record, "\n")).alias("part", "line"),
+    )
+    number = F.col("event_id") * 2 + F.col("part")
+    lines = lines.select("object_key", (F.floor((number + 1) / 4001) * 4001).alias("block_start"), number.alias("line_id"), "line")
+    cell = F.col("raw_fields")
+    return parse_hourly_lines(lines).select(
+        cell["AQSID"].alias("site"), cell["SiteName"].alias("site_name"), cell["Value"].alias("value_text"),
+        cell["ReportingUnits"].cast("bigint").alias("event_id"),
+    )
+
+
 def _order_documents(spark, sf, lists_only: bool = False) -> DataFrame:
     """One JSON document per order, its lines (at most a handful) as rows."""
     item = F.struct(

@@ -23,7 +23,8 @@ _ISO_FULL = (
     r"(T[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?([+-][0-9]{2}(:?[0-9]{2})?)?)?"
 )
 _SHORT_MINUTE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}"
-MAX_OFFSET_HOURS = 8_760_000.0
+# Instants that a feed can name: years 1 to 9999.
+_FIRST, _LAST = "timestamp'0001-01-01 00:00:00'", "timestamp'9999-12-31 23:59:59.999999'"
 
 
 def parse_date_time(date_text: Column, time_text: Column) -> Column:
@@ -81,9 +82,10 @@ def local_timestamp(date_text: Column, time_text: Column) -> Column:
 
 
 def local_to_utc(local: Column, offset_hours: Column) -> Column:
-    """``local - offset`` with fractional hours; no offset means UTC (DT-3)."""
-    usable = F.when(F.abs(offset_hours) <= MAX_OFFSET_HOURS, offset_hours)
-    shifted = local - F.make_dt_interval(secs=(usable * 3600).cast("decimal(18,6)"))
+    """``local - offset`` with fractional hours; no offset means UTC, and an offset that leads
+    out of the years 1 to 9999 has no instant: NULL (DT-3)."""
+    micros = F.unix_micros(local) - ((offset_hours * 3600).try_cast("decimal(18,6)") * 1_000_000).cast("bigint")
+    shifted = F.when(micros.between(F.unix_micros(F.expr(_FIRST)), F.unix_micros(F.expr(_LAST))), F.timestamp_micros(micros))
     return F.when(offset_hours.isNull(), local).otherwise(shifted)
 
 

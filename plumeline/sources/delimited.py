@@ -1,8 +1,10 @@
 """Hourly delimited files (SRC-2).
 
 Files are read line by line, so a large file is split over tasks.  Only the
-facts a line needs about its file (delimiter, header) are gathered per file
-with a partial aggregate, one small row each, and joined back.
+facts a line needs about its file (delimiter, header, whether a quoted cell is
+left open at the end of a line) are gathered per file with a partial aggregate,
+one small row each, and joined back.  Files with a quoted cell over several
+lines are put together from their lines first (``quoted.whole_records``).
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from plumeline.functions import strip
 from plumeline.operators.ranking import evaluated
 from plumeline.schemas import HOURLY_COLUMNS
+from plumeline.sources.quoted import QUOTED, leaves_open, whole_records
 
 # Any of these in the first row, lower-cased, makes it a header.
 HEADER_TOKENS = ("valid date", "valid time", "aqsid", "parameter name", "value", "gmt offset")
@@ -35,17 +38,17 @@ def with_line_position(text: DataFrame) -> DataFrame:
 
 
 def _cells(line: Column, delimiter: str) -> Column:
-    """Cells of a delimited line, quotes resolved; quoted line breaks are not supported."""
+    """Cells of a delimited record, quotes resolved."""
     bar = "\\|" if delimiter == "|" else delimiter
-    pattern = f'((?:"(?:[^"]|"")*")?[^{bar}]*){bar}'
+    pattern = f"((?:{QUOTED})?[^{bar}]*){bar}"
     raw = F.regexp_extract_all(F.concat(line, F.lit(delimiter)), F.lit(pattern), F.lit(1))
     return F.transform(raw, _unquoted)
 
 
 def _unquoted(cell: Column) -> Column:
-    quoted = cell.rlike('^"(?:[^"]|"")*"')
-    inner = F.regexp_replace(F.regexp_extract(cell, '^"((?:[^"]|"")*)"', 1), '""', '"')
-    rest = F.regexp_extract(cell, '^"(?:[^"]|"")*"(.*)$', 1)
+    quoted = cell.rlike(f"^{QUOTED}")
+    inner = F.regexp_replace(F.regexp_extract(cell, '^"((?:[^"]|"")*+)"', 1), '""', '"')
+    rest = F.regexp_extract(cell, f"^{QUOTED}(.*)$", 1)
     return strip(F.when(quoted, F.concat(inner, rest)).otherwise(cell))
 
 
@@ -56,10 +59,10 @@ def _split(line: Column, piped: Column) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
 
 
-def file_layouts(lines: DataFrame) -> DataFrame:
+def file_layouts(lines: DataFrame, piped: Column | None = None) -> DataFrame:
     """Delimiter and header cells per file: the first line with any text decides
-    the delimiter, the first row with any filled cell is the header if it names
-    known columns."""
+    the delimiter (unless ``piped`` is given), the first row with any filled cell is the header if it names
+    known columns.  ``broken`` tells files with a quoted cell that a line leaves open."""
 
     def first_with_text(ignored: str) -> Column:
         filled = F.col("line").rlike(rf"[^\s{ignored}]")
@@ -69,10 +72,12 @@ def file_layouts(lines: DataFrame) -> DataFrame:
         first_with_text("")["line"].alias("first_line"),
         first_with_text('|"').alias("first_piped"),
         first_with_text(',"').alias("first_comma"),
+        F.max(leaves_open(F.col("line"), "|")).alias("open_piped"),
+        F.max(leaves_open(F.col("line"), ",")).alias("open_comma"),
+        *([F.bool_and(piped).alias("known")] if piped is not None else []),
     )
-    piped = F.contains("first_line", F.lit("|"))
-    found = found.withColumn("piped", piped).withColumn(
-        "first_row", F.when(piped, F.col("first_piped")).otherwise(F.col("first_comma"))
+    found = found.withColumn("piped", F.contains("first_line", F.lit("|")) if piped is None else F.col("known")).withColumn(
+        "first_row", F.when(F.col("piped"), F.col("first_piped")).otherwise(F.col("first_comma"))
     )
     found = found.withColumn("first_cells", _split(F.col("first_row.line"), F.col("piped")))
     joined = F.lower(F.array_join("first_cells", " "))
@@ -88,6 +93,7 @@ def file_layouts(lines: DataFrame) -> DataFrame:
         "piped",
         headers.alias("headers"),
         repeats.alias("repeats"),
+        F.when(F.col("piped"), F.col("open_piped")).otherwise(F.col("open_comma")).alias("broken"),
         F.when(has_header, F.col("first_row.block_start")).alias("header_block"),
         F.when(has_header, F.col("first_row.line_id")).alias("header_line"),
     )
@@ -97,9 +103,18 @@ def parse_hourly_lines(lines: DataFrame, broadcast_layouts: bool = False) -> Dat
     """(object_key, raw_fields) per data row: header cell to trimmed value.
 
     Surplus cells are named ``extra_<index>``; of repeated headers the last
-    wins.  ``broadcast_layouts`` is for callers that know the file count.
+    wins.  ``broadcast_layouts`` is for callers that know the file count.  Line breaks inside a
+    quoted cell are kept, as ``\\n``.
     """
     layouts = file_layouts(lines)
+    broken = layouts.where("broken").select("object_key", "piped")
+    records = whole_records(lines.join(F.broadcast(broken) if broadcast_layouts else broken, "object_key"))
+    whole = _fields(lines, layouts.where(~F.col("broken")), broadcast_layouts)
+    return whole.unionByName(_fields(records.drop("piped"), file_layouts(records, F.col("piped")), broadcast_layouts))
+
+
+def _fields(lines: DataFrame, layouts: DataFrame, broadcast_layouts: bool) -> DataFrame:
+    """(object_key, raw_fields) per data row of files whose records are one row of ``lines`` each."""
     rows = lines.join(F.broadcast(layouts) if broadcast_layouts else layouts, "object_key")
     is_header = F.col("block_start").eqNullSafe(F.col("header_block")) & F.col("line_id").eqNullSafe(
         F.col("header_line")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +113,10 @@ def test_offsets(spark):
     assert evaluate(spark, shift, "-7", "5.5", None, "bad") == [
         datetime(2026, 4, 17, 20), datetime(2026, 4, 17, 7, 30), datetime(2026, 4, 17, 13), datetime(2026, 4, 17, 13),
     ]
+    # far offsets count as long as they lead to an instant of the years 1 to 9999
+    assert evaluate(spark, shift, "-60000000", "17000000", "1e8", "-1e300") == [
+        datetime(2026, 4, 17, 13) + timedelta(hours=60_000_000), datetime(2026, 4, 17, 13) - timedelta(hours=17_000_000), None, None,
+    ]
 
 
 def test_iso_text(spark):
