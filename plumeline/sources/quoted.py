@@ -46,9 +46,9 @@ def _states(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def whole_records(lines: DataFrame) -> DataFrame:
     """Rows of ``object_key, block_start, line_id, line, piped`` with the lines of a record joined by line breaks.
 
-    A record takes the place of its first line.  One that is left open at the end of a file is closed there.  A record of
-    more than ``MAX_RECORD`` characters stops the job and names its object.  Lines are shuffled by block of a file,
-    and only the lines of records over several lines once more.
+    A record takes the place of its first line.  One that is left open at the end of a file is closed there.  A record over
+    several lines with more than ``MAX_RECORD`` characters stops the job and names its object.  Lines are shuffled by block of
+    a file, then by record.
     """
     line = F.col("line")
     opened = F.when(F.col("piped"), leaves_open(line, "|")).otherwise(leaves_open(line, ","))
@@ -77,16 +77,16 @@ def whole_records(lines: DataFrame) -> DataFrame:
         W.partitionBy(*block).orderBy("line_id")
     )
     placed = placed.withColumn("record", F.coalesce(here, F.col("_open")))
-    single = placed.where(~F.col("inside") & ~F.col("out0")).select(*lines.columns)
     record = ["object_key", "record"]
-    parts = placed.where(F.col("inside") | F.col("out0"))
-    long = parts.groupBy(*record).agg(F.sum(F.length("line")).alias("chars"))
+    chars = F.sum(F.length("line")).over(W.partitionBy(*record))
     refused = F.raise_error(F.concat(F.lit("quoted cell is not closed: "), F.col("object_key"))).cast("string")
-    fitting = parts.join(long, record).withColumn("line", F.when(F.col("chars") > MAX_RECORD, refused).otherwise(line))
+    fitting = placed.withColumn("chars", chars).withColumn("line", F.when(F.col("inside") & (F.col("chars") > MAX_RECORD), refused).otherwise(line))
     pieces = F.sort_array(F.collect_list(F.struct("block_start", "line_id", "line")))
     left_open = F.max_by(F.when(F.col("inside"), F.col("out1")).otherwise(F.col("out0")), F.struct("block_start", "line_id"))
-    text = F.array_join(F.transform(pieces, lambda p: p["line"]), "\n")
     joined = fitting.groupBy(*record).agg(
-        F.concat(text, F.when(left_open, '"').otherwise("")).alias("line"), F.first("piped").alias("piped")
+        F.array_join(F.transform(pieces, lambda p: p["line"]), "\n").alias("text"),
+        left_open.alias("left_open"),
+        F.bool_and("piped").alias("piped"),
     )
-    return single.unionByName(joined.select("object_key", "record.*", "line", "piped"))
+    whole = F.concat("text", F.when(F.col("left_open"), '"').otherwise(""))
+    return joined.select("object_key", "record.*", whole.alias("line"), "piped")
