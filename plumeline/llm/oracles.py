@@ -6,15 +6,6 @@ from plumeline.llm import quality
 
 _WORDS = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
-# Metric values; the verdict follows from quartiles of rounded values per group.
-_METRICS = {
-    "symbols_per_word": "if(n_words = 0, 0, 10000 * n_symbols // n_words)",
-    "dup_line_share": "if(n_lines = 0, 0, 10000 * n_dup_lines // n_lines)",
-    "repeat_share": "if(n_words = 0, 0, 10000 * n_repeat_words // n_words)",
-    "word_length": "if(n_words = 0, 0, 10000 * word_chars // n_words)",
-}
-
-
 def _quartiles(name: str, keys: str) -> str:
     prefix = f"{keys}, " if keys else ""
     return f"""{name} AS (
@@ -27,11 +18,13 @@ def _quartiles(name: str, keys: str) -> str:
 
 
 def quality_rules() -> str:
-    margins = " ".join(f"WHEN '{m}' THEN {extra}" for m, (extra, _) in quality.METRICS.items())
-    low = ", ".join(f"'{m}'" for m, (_, both) in quality.METRICS.items() if both)
+    low = ", ".join(f"'{m}'" for m, rule in quality.METRICS.items() if rule[-1])
+    share = "if({1} = 0, 0, 10000 * {0} // {1})".format
+    error = 1 << (quality.SKETCH_BITS - 1)
     rank = " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(quality.METRICS))
     values = " UNION ALL ".join(
-        f"SELECT row, lang, source, '{m}' AS metric, {sql} AS value FROM counted" for m, sql in _METRICS.items()
+        f"SELECT row, lang, source, base_failed, '{m}' AS metric, {share(top, per)} AS value, {share(event * quality.EVENTS, per)} AS events FROM counted"
+        for m, (top, per, event, _) in quality.METRICS.items()
     )
     return rf"""
     WITH docs AS (
@@ -49,12 +42,13 @@ def quality_rules() -> str:
     counted AS (
         SELECT s.row, doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
                len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-               (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines
+               (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
+               len(w) < 50 OR 100 * coalesce(c.n, 0) > 50 * len(w) AS base_failed
         FROM split s LEFT JOIN covered c ON c.row = s.row),
     long AS ({values}),
     rounded AS (
         SELECT *, (value >> greatest(length(bin(value)) - {quality.SKETCH_BITS}, 0)::BIGINT)
-                  << greatest(length(bin(value)) - {quality.SKETCH_BITS}, 0)::BIGINT AS rounded FROM long),
+                  << greatest(length(bin(value)) - {quality.SKETCH_BITS}, 0)::BIGINT AS rounded FROM long WHERE NOT base_failed),
     {_quartiles("own", "lang, source")},
     {_quartiles("language", "lang")},
     {_quartiles("corpus", "")},
@@ -62,19 +56,18 @@ def quality_rules() -> str:
         SELECT o.lang, o.source, o.metric,
                CASE WHEN o.total >= {quality.MIN_GROUP} THEN o.q25 WHEN l.total >= {quality.MIN_GROUP} THEN l.q25 ELSE c.q25 END AS q25,
                CASE WHEN o.total >= {quality.MIN_GROUP} THEN o.q75 WHEN l.total >= {quality.MIN_GROUP} THEN l.q75 ELSE c.q75 END AS q75,
-               CASE o.metric {margins} END AS margin
+               CASE WHEN l.total >= {quality.MIN_GROUP} THEN l.q75 - l.q25 ELSE 0 END AS width
         FROM own o JOIN language l ON l.metric = o.metric AND l.lang IS NOT DISTINCT FROM o.lang
         JOIN corpus c ON c.metric = o.metric),
     outside AS (
         SELECT v.row, string_agg(v.metric, ' ' ORDER BY CASE v.metric {rank} END) AS failed_rules
         FROM long v JOIN chosen t ON t.metric = v.metric AND t.lang IS NOT DISTINCT FROM v.lang
                                  AND t.source IS NOT DISTINCT FROM v.source
-        WHERE v.value > t.q75 + {quality.FENCE} * (t.q75 - t.q25) + t.margin
-           OR (v.metric IN ({low}) AND v.value < t.q25 - {quality.FENCE} * (t.q75 - t.q25) - t.margin)
+        WHERE v.value - v.events > t.q75 + {quality.FENCE} * greatest(t.q75 - t.q25, t.width) + t.q75 // {error}
+           OR (v.metric IN ({low}) AND v.value + v.events < t.q25 - {quality.FENCE} * greatest(t.q75 - t.q25, t.width) - t.q25 // {error})
         GROUP BY v.row)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND failed_rules IS NULL AS kept,
+           base_failed, NOT base_failed AND failed_rules IS NULL AS kept,
            coalesce(failed_rules, '') AS failed_rules
     FROM counted LEFT JOIN outside USING (row)
     """

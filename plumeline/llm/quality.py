@@ -4,11 +4,15 @@ Built-in functions only.  Every document gets four shape metrics (integers, per
 10,000).  A sketch is a table of bucket counts: integer values are rounded down to
 ``SKETCH_BITS`` significant bits, so counts of two sketches add up to the sketch of
 the union, in any order and with the same result, and a quantile is off by less
-than ``2 ** (1 - SKETCH_BITS)`` of its value.  Sketches are kept per language and
-source and merged to language level and to the whole corpus; a group with fewer than
-``min_group`` documents uses the next wider one.  The upper fence of a metric is
-``q75 + fence * (q75 - q25) + margin``, the lower ``q25 - ...``; thresholds go
-back to the documents by a join on language and source.
+than ``2 ** (1 - SKETCH_BITS)`` of its value.  Sketches hold the documents that pass the base rules, are kept per language
+and source and merged to language level and to the whole corpus; a group with fewer than ``min_group`` documents uses the
+next wider one.  The upper fence of a metric is ``q75 + fence * spread`` and the error of the sketch, the lower ``q25 - ...``,
+the spread being ``q75 - q25`` of the group or of its language, whichever is wider (a source made of copies has none of its own).
+Thresholds go back to the documents by a join on language and source.
+
+No margin is added to a fence.  Where most documents of a source have none of a thing, the fence is 0; a share
+above it counts only if it still is above it with ``EVENTS`` events taken away, as a share of a short text jumps by
+one event of it.  So what is normal in a source (symbols in code) is its own sketch's matter, and a few events are never junk.
 """
 
 from __future__ import annotations
@@ -20,14 +24,16 @@ from pyspark.sql import functions as F
 from plumeline.llm.common import Scratch, words
 
 SKETCH_BITS = 7
-# Metric: (margin added to the fence, whether low values count too).  Margins keep
-# a group whose documents are all alike (spread 0) from rejecting slight deviations.
+# Metric: (counted, per, counted by one event, whether low values count too).  A window found again covers two times three words,
+# a word unlike the others (an address, a number) is ten characters longer or shorter.
 METRICS = {
-    "symbols_per_word": (2_000, False),
-    "dup_line_share": (5_000, False),
-    "repeat_share": (3_500, False),
-    "word_length": (20_000, True),
+    "symbols_per_word": ("n_symbols", "n_words", 1, False),
+    "dup_line_share": ("n_dup_lines", "n_lines", 1, False),
+    "repeat_share": ("n_repeat_words", "n_words", 6, False),
+    "word_length": ("word_chars", "n_words", 10, True),
 }
+#: Events of a metric that a single document may show beyond its fence.
+EVENTS = 5
 FENCE = 3
 MIN_GROUP = 200
 
@@ -85,12 +91,8 @@ def _neighbours(array: str, before: str, after: str) -> str:
 
 def _metric_columns() -> list[Column]:
     per = lambda top, bottom: F.expr(f"if({bottom} = 0, 0, 10000 * {top} div {bottom})")
-    return [
-        per("n_symbols", "n_words").alias("symbols_per_word"),
-        per("n_dup_lines", "n_lines").alias("dup_line_share"),
-        per("n_repeat_words", "n_words").alias("repeat_share"),
-        per("word_chars", "n_words").alias("word_length"),
-    ]
+    values = [per(top, bottom).alias(m) for m, (top, bottom, _, _) in METRICS.items()]
+    return values + [per(event * EVENTS, bottom).alias(f"{m}_events") for m, (_, bottom, event, _) in METRICS.items()]
 
 
 def bucket(value: Column) -> Column:
@@ -130,14 +132,15 @@ def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP, fence: int = FENCE
         fences = fences.alias("f").join(quartiles.alias("w"), match).select("f.*", f"w.{level}")
     chosen = F.when(F.col("own.total") >= min_group, F.col("own")).when(F.col("language.total") >= min_group, F.col("language"))
     fences = fences.withColumn("q", chosen.otherwise(F.col("corpus")))
-    spread = (F.col("q.q75") - F.col("q.q25")) * fence
-    margin = F.lit(0)
-    low = F.lit(False)
-    for metric, (extra, both_sides) in METRICS.items():
-        margin = F.when(F.col("metric") == metric, extra).otherwise(margin)
-        low = F.when(F.col("metric") == metric, both_sides).otherwise(low)
+    width = F.when(F.col("language.total") >= min_group, F.expr("language.q75 - language.q25"))
+    spread = F.greatest(F.expr("q.q75 - q.q25"), width) * fence
+    low = F.col("metric").isin([m for m, rule in METRICS.items() if rule[-1]])
+    error = 1 << (SKETCH_BITS - 1)
     fences = fences.withColumns(
-        {"upper": F.col("q.q75") + spread + margin, "lower": F.when(low, F.col("q.q25") - spread - margin)}
+        {
+            "upper": F.col("q.q75") + spread + F.expr(f"q.q75 div {error}"),
+            "lower": F.when(low, F.col("q.q25") - spread - F.expr(f"q.q25 div {error}")),
+        }
     )
     per_metric = [
         F.max(F.when(F.col("metric") == m, F.struct("lower", "upper"))).alias(f"{m}_fence") for m in METRICS
@@ -153,7 +156,8 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, fence: int = FENCE) -> Da
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed_rules``.
     ``base_failed``: fewer than 50 words (so null and empty texts), or repeated windows
     over more than half of the words.  ``kept``: not base_failed and every metric within its
-    fences.  Repeated rows are judged each; an empty table gives no rows.  The text is
+    fences, its events taken away.  ``failed_rules`` names the others, also of documents that fail the base rules
+    (none in a source where all do).  Repeated rows are judged each; an empty table gives no rows.  The text is
     read once; only counts are shuffled, and thresholds come back by a join that
     AQE plans by their measured size and splits on hot sources.
     """
@@ -164,10 +168,14 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, fence: int = FENCE) -> Da
             "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *_metric_columns()
         )
     )
-    fences = thresholds(scratch.save(sketches(scored)), min_group, fence)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    fences = thresholds(scratch.save(sketches(scored.where(~base_failed))), min_group, fence)
     failed = [
-        F.when((F.col(m) > F.col(f"{m}_fence.upper")) | (F.col(m) < F.col(f"{m}_fence.lower")), F.lit(m)) for m in METRICS
+        F.when(
+            (F.col(m) - F.col(f"{m}_events") > F.col(f"{m}_fence.upper")) | (F.col(m) + F.col(f"{m}_events") < F.col(f"{m}_fence.lower")),
+            F.lit(m),
+        )
+        for m in METRICS
     ]
     match = F.col("d.lang").eqNullSafe(F.col("t.lang")) & F.col("d.source").eqNullSafe(F.col("t.source"))
     judged = scored.alias("d").join(fences.alias("t"), match, "left").select(
