@@ -2,6 +2,10 @@
 
 from datetime import datetime
 
+import pytest
+
+from plumeline.catalog import fixtures as fx
+from plumeline.catalog import merge_queries
 from plumeline.operators import ledger
 
 
@@ -30,3 +34,15 @@ def test_run_states_ranks_without_messages(spark):
     assert found["a"] == (day(2), "success", "z" * 2000) and found["b"] == (None, "failed", None)
     assert found["c"] == (day(1), "running", "x") and found["d"][2] == "same" and found[None][2] == "later"
     assert "ShuffledHashJoin" in _plan(states)
+
+
+@pytest.mark.parametrize("name", ["staging_union_dedupe", "load_batch", "refresh_current_flags"])
+def test_queries_reading_history_repeatedly_join_the_lines_once(spark, name):
+    plan = _plan(merge_queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "lines-" in plan and "lineitem.parquet" not in plan and "orders.parquet" not in plan
+
+
+def test_stored_history_is_history(spark):
+    stored, joined = fx.stored_history(spark, "/root/testdata/sf0.001"), fx.history(spark, "/root/testdata/sf0.001")
+    assert stored.dtypes == joined.dtypes
+    assert stored.exceptAll(joined).isEmpty() and joined.exceptAll(stored).isEmpty()
