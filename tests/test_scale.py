@@ -36,7 +36,7 @@ def test_run_states_ranks_without_messages(spark):
     assert "ShuffledHashJoin" in _plan(states)
 
 
-@pytest.mark.parametrize("name", ["staging_union_dedupe", "load_batch", "refresh_current_flags"])
+@pytest.mark.parametrize("name", ["staging_union_dedupe", "load_batch", "refresh_current_flags", "history_append"])
 def test_queries_reading_history_repeatedly_join_the_lines_once(spark, name):
     plan = _plan(merge_queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "lines-" in plan and "lineitem.parquet" not in plan and "orders.parquet" not in plan
