@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumeline.catalog import fixtures as fx
 from plumeline.catalog import merge_queries
@@ -46,3 +47,50 @@ def test_stored_history_is_history(spark):
     stored, joined = fx.stored_history(spark, "/root/testdata/sf0.001"), fx.history(spark, "/root/testdata/sf0.001")
     assert stored.dtypes == joined.dtypes
     assert stored.exceptAll(joined).isEmpty() and joined.exceptAll(stored).isEmpty()
+
+
+def _tables_with_lines_of_a_station_in_many_files(spark, folder):
+    """Two stations whose lines lie in all eight files; keys that are null, repeat or match nothing."""
+    day = lambda n: datetime(2024, 1, n)
+    lines = [
+        (order, part, station, part or 0, float(order or 0), "NAR"[(order or 0) % 3], "FO"[(order or 0) % 2], day(1 + (order or 0) % 28))
+        for order in [*range(40), 39, None, 99]
+        for part in (1, 2, 3, None, 9)
+        for station in (1, 2, None, 9)
+    ]
+    tables = {
+        "lineitem": (
+            lines,
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, "
+            "l_linestatus string, l_shipdate timestamp_ntz",
+        ),
+        "orders": ([*((n, day(1 + n % 28)) for n in [*range(40), 7]), (None, day(1))], "o_orderkey long, o_orderdate timestamp_ntz"),
+        "part": ([(1, "PROMO"), (2, "LARGE"), (2, "PROMO"), (3, None), (None, "SMALL")], "p_partkey long, p_type string"),
+        "supplier": ([(1, 3, "a"), (2, 4, "b"), (2, 4, "b"), (None, 5, "c")], "s_suppkey long, s_nationkey int, s_name string"),
+        "nation": ([(3, "x"), (4, "y"), (5, "z")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).repartition(8 if name == "lineitem" else 1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_history_by_station_has_the_rows_of_history(spark, tmp_path):
+    folder = _tables_with_lines_of_a_station_in_many_files(spark, tmp_path)
+    for with_ingestion in (True, False):
+        joined, dealt = fx.history(spark, folder, with_ingestion), fx.history(spark, folder, with_ingestion, by_station=True)
+        assert dealt.dtypes == joined.dtypes and dealt.count() > 500
+        assert dealt.exceptAll(joined).isEmpty() and joined.exceptAll(dealt).isEmpty()
+
+
+def test_map_ranking_meets_the_rows_of_a_station_in_one_task(spark, tmp_path):
+    """The ranking then shuffles one row per group, not one per group and task."""
+    folder = _tables_with_lines_of_a_station_in_many_files(spark, tmp_path)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = fx.tables(spark, folder).history
+        tasks = rows.select("location_id", F.spark_partition_id().alias("task")).distinct().collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(tasks) == 2 and len({r.location_id for r in tasks}) == 2
