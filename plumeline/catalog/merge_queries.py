@@ -40,6 +40,16 @@ def _loaded_current(existing: DataFrame) -> DataFrame:
     return merge.rebuild_current(existing, LOADED_AT)
 
 
+def _batches_by_key(spark, sf, *shown: str) -> tuple[DataFrame, DataFrame]:
+    """Existing and incoming rows, those of a key in one task; what merges compare, and the columns ``shown``."""
+    existing, incoming = fx.stored_batches(spark, sf)
+    read = (*merge.VERSION_KEYS, "source_priority", *shown)
+    return (
+        merge.by_key(existing.select(*read, "ingested_at")),
+        merge.by_key(incoming.select(*read, "timestamp_start_utc", "source_last_modified_date")),
+    )
+
+
 # Ranked views shared by the oracles.
 _CUR0 = """
 cur0 AS (SELECT * FROM (
@@ -197,10 +207,10 @@ def _current_version_flags(spark, sf):
     ),
 )
 def _refresh_current_flags(spark, sf):
-    existing, incoming = fx.stored_batches(spark, sf)
+    existing, incoming = _batches_by_key(spark, sf)
     before = _loaded_current(existing)
-    stored = merge.with_current_flags(existing, before).unionByName(
-        incoming.withColumn("is_current_version", F.lit(False))
+    stored = merge.with_current_flags(existing, before).drop("ingested_at").unionByName(
+        incoming.withColumn("is_current_version", F.lit(False)).drop("timestamp_start_utc", "source_last_modified_date")
     )
     after = merge.upsert_current(before, incoming, AS_OF)
     flagged = merge.refresh_current_flags(stored, after, incoming)

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumeline.functions import as_column
@@ -22,6 +22,16 @@ from plumeline.schemas import PROVISIONAL
 VERSION_KEYS = ("natural_key", "record_hash", "source_system")
 
 
+def by_key(rows: DataFrame) -> DataFrame:
+    """``rows`` with those of a natural key in one task, for plans that rank and join them by key many times.
+
+    The other columns are generated after the shuffle, so readers of different columns share it, and rankings and joins
+    by key, or by key and more, need none of their own.  All columns given are shuffled; give those that are read.
+    """
+    others = [c for c in rows.columns if c != "natural_key"]
+    return rows.repartition("natural_key").select("natural_key", F.inline(F.array(F.struct(*others)))).select(*rows.columns)
+
+
 def upsert_latest(base: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``delta`` replace rows of ``base`` with the same keys (MRG-1)."""
     kept = base.join(delta.select(*keys), list(keys), "left_anti")
@@ -74,16 +84,21 @@ def upsert_current(current: DataFrame, incoming: DataFrame, as_of: datetime | Co
     """
     columns = current.columns
     updated = as_column(as_of).cast(current.schema["updated_at"].dataType)
-    winners = batch_winners(incoming).withColumn("updated_at", updated)
-    old = current.select("natural_key", F.struct(*columns).alias("old"))
-    new = winners.select("natural_key", F.struct(*columns).alias("new"))
-    joined = old.join(new, "natural_key", "full_outer")
-    outranks = F.col("new.source_priority") > F.col("old.source_priority")
-    revises = (F.col("new.source_priority") == F.col("old.source_priority")) & (
-        F.col("new.record_hash") != F.col("old.record_hash")
+    winners = batch_winners(incoming).withColumn("updated_at", updated).select(*columns)
+    rows = current.withColumn("_new", F.lit(False)).unionByName(winners.withColumn("_new", F.lit(True)))
+    # A window, not an outer join: columns nobody reads are not shuffled, and the rows of a key stay in one task.
+    of_key = Window.partitionBy("natural_key")
+    new = {c: F.first(F.when(F.col("_new"), F.col(c)), ignorenulls=True).over(of_key) for c in columns}
+    outranks = new["source_priority"] > F.col("source_priority")
+    revises = (new["source_priority"] == F.col("source_priority")) & (new["record_hash"] != F.col("record_hash"))
+    keyed = F.col("natural_key").isNotNull()
+    takes = ~F.col("_new") & keyed & F.coalesce(outranks | revises, F.lit(False))
+    merged = rows.select(
+        "natural_key",
+        *[F.when(takes, new[c]).otherwise(F.col(c)).alias(c) for c in columns if c != "natural_key"],
+        (F.col("_new") & keyed & F.max(~F.col("_new")).over(of_key)).alias("_met"),
     )
-    takes = F.col("new").isNotNull() & (F.col("old").isNull() | outranks | revises)
-    return joined.select(F.when(takes, F.col("new")).otherwise(F.col("old")).alias("row")).select("row.*")
+    return merged.where(~F.col("_met")).select(*columns)
 
 
 def history_winners(history: DataFrame) -> DataFrame:
@@ -107,7 +122,28 @@ def rebuild_current(history: DataFrame, as_of: datetime | Column, current: DataF
 
 def new_history_rows(history: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming versions not in history yet (SNK-8, JOIN-5)."""
-    return incoming.join(history.select(*VERSION_KEYS), list(VERSION_KEYS), "left_anti").select(*incoming.columns)
+    # A window, not an anti join: it is content with rows that lie together by natural key alone.
+    stored = history.select(*VERSION_KEYS).withColumn("_stored", F.lit(True))
+    rows = incoming.withColumn("_stored", F.lit(False)).unionByName(stored, allowMissingColumns=True)
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in VERSION_KEYS])
+    known = complete & F.max("_stored").over(Window.partitionBy(*VERSION_KEYS))
+    return rows.select("*", known.alias("_known")).where(~F.col("_stored") & ~F.col("_known")).select(*incoming.columns)
+
+
+def _same(one: str, other: str) -> Column:
+    """Equality of two columns as a condition of a join by natural key; ``==`` would become a key of the join and with it of its shuffle."""
+    return (F.col(one) >= F.col(other)) & (F.col(one) <= F.col(other))
+
+
+def _join_versions(rows: DataFrame, versions: DataFrame) -> DataFrame:
+    """``rows`` with the columns of the ``versions`` they are; NULL where there is none.
+
+    The natural key alone is the key of the join, so rows that lie together by it are not shuffled again.  ``versions``
+    are those of a current table, of which a natural key has one.
+    """
+    found = versions.withColumnsRenamed({c: f"_{c}" for c in VERSION_KEYS})
+    matches = reduce(lambda a, b: a & b, [_same(c, f"_{c}") for c in VERSION_KEYS[1:]], F.col("natural_key") == F.col("_natural_key"))
+    return rows.join(found, matches, "left").drop(*[f"_{c}" for c in VERSION_KEYS])
 
 
 def with_current_flags(history: DataFrame, current: DataFrame) -> DataFrame:
@@ -117,7 +153,7 @@ def with_current_flags(history: DataFrame, current: DataFrame) -> DataFrame:
     construction and leaves history append-only.
     """
     versions = current.select(*VERSION_KEYS).withColumn("_current", F.lit(True))
-    joined = history.drop("is_current_version").join(versions, list(VERSION_KEYS), "left")
+    joined = _join_versions(history.drop("is_current_version"), versions)
     return joined.withColumn("is_current_version", F.coalesce("_current", F.lit(False))).drop("_current")
 
 
@@ -130,7 +166,7 @@ def refresh_current_flags(flagged: DataFrame, current: DataFrame, incoming: Data
         .select(*VERSION_KEYS)
         .withColumn("_current", F.lit(True))
     )
-    joined = flagged.join(touched, "natural_key", "left").join(versions, list(VERSION_KEYS), "left")
+    joined = _join_versions(flagged.join(touched, "natural_key", "left"), versions)
     flag = F.when(F.col("_touched"), F.coalesce("_current", F.lit(False))).otherwise(F.col("is_current_version"))
     return joined.withColumn("is_current_version", flag).select(*flagged.columns)
 

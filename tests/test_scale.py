@@ -1,13 +1,15 @@
 """What large tables cost: no step may sort, shuffle or write more than it has to."""
 
+import time
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from plumeline.catalog import fixtures as fx
 from plumeline.catalog import merge_queries
-from plumeline.operators import ledger
+from plumeline.operators import ledger, merge
 
 
 def _plan(df) -> str:
@@ -94,3 +96,81 @@ def test_map_ranking_meets_the_rows_of_a_station_in_one_task(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert len(tasks) == 2 and len({r.location_id for r in tasks}) == 2
+
+
+@pytest.mark.parametrize("name", ["refresh_current_flags"])
+def test_batches_are_shuffled_once_by_key(spark, name):
+    """Each batch once, for all rankings and joins by key or by key and more."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = _plan(merge_queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set(key, before)
+    assert "REPARTITION_BY_COL" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_stored_lines_leave_no_shuffle_files(spark, tmp_path):
+    folder = _tables_with_lines_of_a_station_in_many_files(spark, tmp_path)
+    local = Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, held = spark.conf.get(key), {*local.rglob("shuffle_*.data")}
+    spark.conf.set(key, "-1")
+    try:
+        stored = fx.stored_history(spark, folder)
+    finally:
+        spark.conf.set(key, before)
+    for _ in range(50):  # files are removed in the background
+        if {*local.rglob("shuffle_*.data")} <= held:
+            break
+        time.sleep(0.1)
+    left = {*local.rglob("shuffle_*.data")} - held
+    assert not left and stored.count() > 500
+
+
+_ROW = "natural_key string, record_hash string, source_system string, source_priority int, value_numeric double"
+
+
+def test_upsert_keeps_keys_that_are_null_or_repeated(spark):
+    current = [
+        ("a", "h1", "AIRNOW", 10, 1.0), ("a", "h2", "AIRNOW", 10, 2.0), ("b", "h1", "AQS", 100, 3.0), ("c", "h1", "AQS", None, 4.0),
+        (None, "h1", "AQS", 10, 5.0), (None, "h1", "AQS", 10, 5.0),
+    ]
+    incoming = [
+        ("a", "h2", "AIRNOW", 10, None), ("b", "h9", "AIRNOW", 10, 7.0), ("c", "h8", "AQS", 100, 8.0), ("d", None, "AQS", 10, 9.0),
+        (None, "h7", "AQS", 100, 10.0),
+    ]
+    stored = spark.createDataFrame(current, _ROW).withColumn("updated_at", F.lit(datetime(2024, 1, 1)).cast("timestamp"))
+    batch = spark.createDataFrame(incoming, _ROW).withColumns(
+        {"timestamp_start_utc": F.lit(datetime(2024, 1, 1)), "source_last_modified_date": F.lit(None).cast("date")}
+    )
+    after = merge.upsert_current(stored, batch, datetime(2024, 1, 2))
+    assert after.columns == stored.columns
+    found = sorted(((*r[:5], r.updated_at.day) for r in after.collect()), key=str)
+    assert found == sorted(
+        [
+            ("a", "h2", "AIRNOW", 10, None, 2), ("a", "h2", "AIRNOW", 10, 2.0, 1), ("b", "h1", "AQS", 100, 3.0, 1),
+            ("c", "h1", "AQS", None, 4.0, 1), ("d", None, "AQS", 10, 9.0, 2), (None, "h1", "AQS", 10, 5.0, 1),
+            (None, "h1", "AQS", 10, 5.0, 1), (None, "h7", "AQS", 100, 10.0, 2),
+        ],
+        key=str,
+    )
+
+
+def test_versions_with_nulls_are_never_known_nor_current(spark):
+    rows = [("a", "h", "AQS"), ("a", None, "AQS"), (None, "h", "AQS"), ("b", "h", "AQS"), ("b", "h", "AQS"), ("c", "h", "AQS")]
+    versions = "natural_key string, record_hash string, source_system string"
+    stored = spark.createDataFrame([*rows[:3], ("c", "h", "AIRNOW")], versions)
+    incoming = spark.createDataFrame(rows, versions)
+    new = merge.new_history_rows(stored, incoming)
+    assert sorted(map(tuple, new.collect()), key=str) == sorted(rows[1:], key=str)
+    flagged = {(tuple(r)[:3], r.is_current_version) for r in merge.with_current_flags(incoming, stored).collect()}
+    assert flagged == {(r, r == ("a", "h", "AQS")) for r in rows}
+
+
+def test_rows_by_key_are_the_rows(spark):
+    rows = spark.createDataFrame([("a", 1, None), ("a", 1, None), (None, 2, "x"), ("b", None, "y")], "natural_key string, n int, t string")
+    dealt = merge.by_key(rows)
+    assert dealt.columns == rows.columns
+    assert dealt.exceptAll(rows).isEmpty() and rows.exceptAll(dealt).isEmpty()
