@@ -253,7 +253,7 @@ def _revision_audit(spark, sf):
 )
 def _load_batch(spark, sf):
     # all that one load does to its three tables
-    existing, incoming = fx.stored_batches(spark, sf)
+    existing, incoming = _batches_by_key(spark, sf, "value_numeric")
     batch = merge_batch(_loaded_current(existing), existing, incoming, AS_OF)
     row = ["natural_key", "record_hash", "value_numeric"]
     revised = batch.audit.select("natural_key", F.col("new_hash").alias("record_hash"), F.col("new_value").alias("value_numeric"))

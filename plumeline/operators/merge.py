@@ -187,7 +187,7 @@ def revision_audit(current: DataFrame, incoming: DataFrame) -> DataFrame:
         F.col("source_priority").alias("_new_priority"),
     )
     revised = new.join(old, "natural_key").where(
-        (F.col("_old_priority") == F.col("_new_priority")) & (F.col("old_hash") != F.col("new_hash"))
+        _same("_old_priority", "_new_priority") & (F.col("old_hash") != F.col("new_hash"))
     )
     return revised.select("natural_key", "old_value", "new_value", "old_hash", "new_hash")
 

@@ -98,7 +98,7 @@ def test_map_ranking_meets_the_rows_of_a_station_in_one_task(spark, tmp_path):
     assert len(tasks) == 2 and len({r.location_id for r in tasks}) == 2
 
 
-@pytest.mark.parametrize("name", ["refresh_current_flags"])
+@pytest.mark.parametrize("name", ["load_batch", "refresh_current_flags"])
 def test_batches_are_shuffled_once_by_key(spark, name):
     """Each batch once, for all rankings and joins by key or by key and more."""
     key = "spark.sql.autoBroadcastJoinThreshold"
