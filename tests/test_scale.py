@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from plumeline.catalog import fixtures as fx
 from plumeline.catalog import merge_queries
 from plumeline.operators import ledger, merge
+from plumeline.schemas import STAGED, conform
+from plumeline.sources.staging import stage
+from plumeline.sources.store import ObservationStore
 
 
 def _plan(df) -> str:
@@ -174,3 +177,34 @@ def test_rows_by_key_are_the_rows(spark):
     dealt = merge.by_key(rows)
     assert dealt.columns == rows.columns
     assert dealt.exceptAll(rows).isEmpty() and rows.exceptAll(dealt).isEmpty()
+
+
+_STAGED = "object_key string, source_row_hash string, record_hash string, source_dataset string"
+_OLD = [("k/1", "a", "1", "airnow_hourly_file"), ("k/1", "b", "2", "airnow_hourly_file"), (None, "x", "3", "airnow_hourly_file")]
+_NEW = [
+    ("k/1", "b", "9", "aqs_daily"), ("k/1", "c", "5", "aqs_daily"), ("k/1", "c", "4", "aqs_daily"), ("k/2", "a", "6", "aqs_daily"),
+    (None, "x", "8", "aqs_daily"), (None, "x", "7", "aqs_daily"), (None, None, "2", "aqs_daily"), ("k/3", None, "1", "aqs_daily"),
+]
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_staging_shuffles_only_rows_whose_keys_repeat(spark, tmp_path, monkeypatch, threshold):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    store, plans = ObservationStore(spark, str(tmp_path / "store")), []
+    append = store.append
+    monkeypatch.setattr(store, "append", lambda name, df: (plans.append(_plan(df)), append(name, df)))
+    try:
+        for rows in (_OLD, _NEW):
+            stage(store, conform(spark.createDataFrame(rows, _STAGED), STAGED), datetime(2024, 1, 1))
+    finally:
+        spark.conf.set(key, before)
+    found = store.read("staging").select("object_key", "source_row_hash", "record_hash").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [r[:3] for r in _OLD]
+        + [("k/1", "c", "4"), ("k/2", "a", "6"), (None, "x", "7"), (None, None, "2"), ("k/3", None, "1")],
+        key=str,
+    )
+    # with a threshold, the rows of keys that come once pass a broadcast of the others' hashes and no ranking
+    assert all(("BroadcastHashJoin [_key" in plan and "LeftAnti" in plan) == (threshold == "10MB") for plan in plans) and len(plans) == 2
